@@ -63,11 +63,10 @@ def write_table(df: DataFrame, root: str, table: str, batch_id: str | int) -> No
 def ensure_tables(spark: SparkSession, root: str) -> None:
     """Create the tables that do not exist yet, empty; existing ones are left alone."""
     for table, schema in SCHEMAS.items():
-        empty = spark.createDataFrame([], schema).withColumn(
-            "day", F.lit(None).cast("date")
-        )
         path = f"{table_path(root, table)}/batch_id=created"
-        (empty if table in DAY_SOURCE else empty.drop("day")).write.mode("ignore").parquet(path)
+        if table in DAY_SOURCE:
+            path += "/day=__HIVE_DEFAULT_PARTITION__"
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
 def read_table(

@@ -201,27 +201,27 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered_raw_lines(spark, sf_dir).select("value")
 
 
-def stream_raw_lines(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """The same lines as a stream over the events; documents are a static side."""
+def _stream_numbered(spark: SparkSession, sf_dir: str, files_per_trigger: int) -> DataFrame:
     events, documents = events_and_documents(spark, sf_dir)
     stream = (
         spark.readStream.schema(events.schema)
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(f"{sf_dir}/events.parquet")
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
     )
-    count = F.lit(documents.count())
-    return shape_raw_lines(shape_edits(join_documents(stream, documents, count))).select("value")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:
+        stream = stream.repartition(cores)
+    return shape_edits(join_documents(stream, documents, F.lit(documents.count())))
+
+
+def stream_raw_lines(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
+    """The raw lines as a stream over the events; documents are a static side."""
+    return shape_raw_lines(_stream_numbered(spark, sf_dir, files_per_trigger)).select("value")
 
 
 def stream_edits(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    events, documents = events_and_documents(spark, sf_dir)
-    stream = (
-        spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(f"{sf_dir}/events.parquet")
-    )
-    count = F.lit(documents.count())
-    return shape_edits(join_documents(stream, documents, count)).select(EDIT_FIELDS)
+    return _stream_numbered(spark, sf_dir, files_per_trigger).select(EDIT_FIELDS)
 
 
 def shape_flat_lines(rows: DataFrame) -> DataFrame:
