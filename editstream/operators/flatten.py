@@ -71,10 +71,10 @@ def project(events: DataFrame, sources: dict[str, tuple[str, str | None]]) -> Da
 
 
 def flatten(events: DataFrame) -> DataFrame:
-    """The flat record of every event, by event type, plus ``value`` and ``malformed``.
+    """The flat record of every event, by event type, plus ``malformed`` and ``value``.
 
     Columns of another type's branch stay absent. ``malformed`` marks edits whose ``length``
-    or ``revision`` is there but is not an object.
+    or ``revision`` is there but is not an object; only for these the raw line is kept.
     """
     event = F.col("event")
     event_type = V.as_text(V.child(event, "$.type"))
@@ -89,7 +89,8 @@ def flatten(events: DataFrame) -> DataFrame:
     columns = [_read(event, CORE[name]).alias(name) for name in CORE]
     columns += [F.when(is_edit, _read(event, EDIT[name])).alias(name) for name in EDIT]
     columns += [F.when(is_log, _read(event, LOG[name])).alias(name) for name in LOG]
-    return events.select("value", malformed.alias("malformed"), *columns)
+    raw_line = F.when(malformed, F.col("value"))
+    return events.select(raw_line.alias("value"), malformed.alias("malformed"), *columns)
 
 
 def clean_booleans(records: DataFrame, *names: str) -> DataFrame:

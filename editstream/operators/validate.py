@@ -113,7 +113,7 @@ def validate(records: DataFrame, payload: Column | None = None) -> DataFrame:
     carried = [
         c
         for c in records.columns
-        if c not in EDIT_FIELDS and not c.startswith("kind_of_") and c not in ("errors", "payload")
+        if c not in EDIT_FIELDS and not c.startswith("kind_of_") and c != "value"
     ]
     malformed_error = _error(
         MALFORMED, "_root", "DICT", F.col("value").cast("string"), F.lit(MALFORMED_MESSAGE)

@@ -18,31 +18,28 @@ def _size_change() -> Column:
     return F.col("len_new") - F.col("len_old")
 
 
-def top_values(rows: DataFrame, key: str, value: str, limit: int) -> DataFrame:
-    """Per key the first ``limit`` distinct values in sorted order, as an array.
+def counts_with_samples(
+    rows: DataFrame, key: str, value: str, limit: int, count_name: str, samples_name: str
+) -> DataFrame:
+    """Rows per key, with the first ``limit`` distinct values of the key in sorted order.
 
-    Distinct pairs are combined before the shuffle and the row-number filter becomes a limit
-    in every task, so no task ever holds all values of a key.
+    The rows are reduced to counted (key, value) pairs before the only wide shuffle; the count
+    and the samples both read that shuffle. The filter on the row number becomes a limit inside
+    every task, so no task holds all values of a key.
     """
-    place = F.row_number().over(Window.partitionBy(key).orderBy(value))
-    return (
-        rows.where(F.col(value).isNotNull())
-        .select(key, value)
-        .distinct()
-        .withColumn("_place", place)
+    pairs = rows.groupBy(key, value).agg(F.count("*").alias("_rows"))
+    counted = pairs.groupBy(key).agg(F.sum("_rows").alias(count_name))
+    # Ordering by the count as well changes nothing, as pairs are unique, but it keeps both
+    # readers on the same columns, which is what lets Spark run the shuffle only once.
+    in_order = Window.partitionBy(key).orderBy(F.asc_nulls_last(value), "_rows")
+    place = F.row_number().over(in_order)
+    samples = (
+        pairs.withColumn("_place", place)
         .where(F.col("_place") <= limit)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(value)).alias("samples"))
-    )
-
-
-def _with_samples(
-    counted: DataFrame, rows: DataFrame, key: str, value: str, limit: int, name: str
-) -> DataFrame:
-    samples = top_values(rows, key, value, limit).select(
-        F.col(key).alias("_key"), F.col("samples").alias(name)
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.array_sort(F.collect_list(value)).alias(samples_name))
     )
-    return counted.join(samples, counted[key].eqNullSafe(samples["_key"]), "left").drop("_key")
+    return counted.join(samples, counted[key].eqNullSafe(samples["_key"])).drop("_key")
 
 
 # --- Basic ---------------------------------------------------------------------------------
@@ -142,13 +139,10 @@ def most_active_users(edits: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def users_with_flags(flagged: DataFrame, more_than: int = 1, pages: int = 10) -> DataFrame:
-    counted = (
-        flagged.groupBy("user")
-        .agg(F.count("*").alias("ai_flagged_count"))
+    return (
+        counts_with_samples(flagged, "user", "title", pages, "ai_flagged_count", "affected_pages")
         .where(F.col("ai_flagged_count") > more_than)
-    )
-    return _with_samples(counted, flagged, "user", "title", pages, "affected_pages").orderBy(
-        F.desc("ai_flagged_count"), "user"
+        .orderBy(F.desc("ai_flagged_count"), "user")
     )
 
 
@@ -291,9 +285,8 @@ def page_frequency(edits: DataFrame, more_than: int = 5, limit: int = 100) -> Da
 
 
 def dead_letters_by_category(dead: DataFrame, samples: int = 5) -> DataFrame:
-    counted = dead.groupBy("_error_category").agg(F.count("*").alias("error_count"))
-    return _with_samples(
-        counted, dead, "_error_category", "_error_details", samples, "sample_errors"
+    return counts_with_samples(
+        dead, "_error_category", "_error_details", samples, "error_count", "sample_errors"
     ).orderBy(F.desc("error_count"), "_error_category")
 
 

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editstream.functions import rulebook
+from editstream.functions import variants as V
 from editstream.operators.detect import flagged_records, with_flags
 from editstream.operators.flatten import clean_booleans, flat_records, flatten
 from editstream.operators.ingest import accepted_events, parse_events
 from editstream.operators.validate import dead_letters, valid_rows, validate
-from editstream.functions import variants as V
 from editstream.session import scratch_dir
 from editstream.sources.tables import write_table
 
@@ -51,7 +51,7 @@ def flat_rows(lines: DataFrame) -> DataFrame:
     """The plain form of the job: accepted, flattened, booleans cleaned; no rules, no routing."""
     rows = flat_validated(lines)
     return rows.where("not malformed").drop(
-        "value", "malformed", "is_valid", "errors", "payload", "absent_fields"
+        "malformed", "is_valid", "errors", "payload", "absent_fields"
     )
 
 

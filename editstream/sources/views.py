@@ -212,7 +212,7 @@ def _stream_numbered(spark: SparkSession, sf_dir: str, files_per_trigger: int) -
     cores = spark.sparkContext.defaultParallelism
     if events.rdd.getNumPartitions() < cores:
         stream = stream.repartition(cores)
-    return shape_edits(join_documents(stream, documents, F.lit(documents.count())))
+    return shape_edits(join_documents(stream, spread(documents), F.lit(documents.count())))
 
 
 def stream_raw_lines(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
