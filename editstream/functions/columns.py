@@ -42,3 +42,22 @@ def sanitize_text(value: Column, max_length: int = 1000) -> Column:
 
 def parse_time(text: Column) -> Column:
     return F.try_to_timestamp(text)
+
+
+def join_group_sizes(
+    rows: DataFrame, groups: DataFrame, key: str, size: str, most_hot: int = 100_000
+) -> DataFrame:
+    """Inner join of rows with their groups, where a group may hold a large part of all rows.
+
+    ``groups`` has one row per key, with the number of its rows in ``size``. Fewer than
+    ``most_hot`` groups can hold more than one part in ``most_hot`` of the rows, whatever the
+    data, so these are broadcast and their rows are not shuffled at all. The other groups are
+    small enough for a shuffled join.
+    """
+    border = groups.agg(F.ceil(F.sum(size) / most_hot).alias("n")).scalar()
+    hot = groups.where(F.col(size) > border)
+    cold = groups.where(F.col(size) <= border)
+    marked = rows.join(F.broadcast(hot), key, "left")
+    in_hot = marked.where(F.col(size).isNotNull())
+    in_cold = marked.where(F.col(size).isNull()).select(rows.columns).join(cold, key)
+    return in_hot.unionByName(in_cold)

@@ -21,6 +21,11 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
+def plain_kind(kind_: Column) -> Column:
+    """The kind without element types and precision, so that there are few different ones."""
+    return F.regexp_extract(kind_, "^[A-Z]+", 0)
+
+
 def is_object(kind_: Column) -> Column:
     return kind_.startswith("OBJECT")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from editstream.functions.columns import join_group_sizes
+
 CONTENT_KEY = ["title", "user", "comment"]
 
 
@@ -54,22 +56,11 @@ def repeated_content(edits: DataFrame, columns: list[str] = CONTENT_KEY) -> Data
     )
 
 
-def repeated_content_members(
-    edits: DataFrame, columns: list[str] = CONTENT_KEY, salts: int = 16
-) -> DataFrame:
-    """Every row of a repeated group: ``content``, ``copies`` and ``evt_id``.
-
-    The rows are spread over ``salts`` parts of their key and the (much smaller) group table is
-    repeated per part, so a group that holds a third of all rows is met by ``salts`` tasks; AQE
-    splits what is still too large.
-    """
-    rows = edits.select("evt_id", content_digest(columns).alias("content")).withColumn(
-        "part", F.pmod(F.xxhash64("evt_id"), F.lit(salts)).cast("int")
-    )
-    groups = repeated_content(edits, columns).select(
-        "content", "copies", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("part")
-    )
-    return rows.join(groups, ["content", "part"]).drop("part")
+def repeated_content_members(edits: DataFrame, columns: list[str] = CONTENT_KEY) -> DataFrame:
+    """Every row of a repeated group: ``content``, ``copies`` and ``evt_id``."""
+    rows = edits.select("evt_id", content_digest(columns).alias("content"))
+    groups = repeated_content(edits, columns).select("content", "copies")
+    return join_group_sizes(rows, groups, "content", "copies")
 
 
 def late_events(

@@ -72,7 +72,7 @@ def compatibility_report(records: DataFrame) -> DataFrame:
         F.explode(F.col("event").cast("map<string,variant>")).alias("field", "content")
     )
     observed = (
-        entries.select("field", V.kind(F.col("content")).alias("kind"))
+        entries.select("field", V.plain_kind(V.kind(F.col("content"))).alias("kind"))
         .groupBy("field", "kind")
         .agg(F.count("*").alias("values"))
     )

@@ -3,33 +3,57 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editstream.functions import rulebook
-from editstream.operators.detect import flagged_records, with_flags
-from editstream.session import scratch_dir
+from editstream.operators.detect import SAMPLE_LENGTH, flagged_records, with_flags
+from editstream.session import staged
 from editstream.sources.tables import SCAN_COLUMNS, read_table, write_table
 
 
-def pending(
-    edits: DataFrame, flagged: DataFrame, clean: DataFrame, version: str
-) -> DataFrame:
+def finished_ids(flagged: DataFrame, clean: DataFrame, version: str) -> DataFrame:
+    """Ids that were screened under the version, whatever came of it."""
+    known = F.col("rule_version") == version
+    return (
+        flagged.where(known)
+        .select("event_id")
+        .unionByName(clean.where(known).select("event_id"))
+    )
+
+
+def pending(edits: DataFrame, flagged: DataFrame, clean: DataFrame, version: str) -> DataFrame:
     """Edits that neither table knows for this rule version.
 
     Both tables are cut to the version and to their id before they meet the edits in a single
     anti join, so the edits are shuffled once.
     """
-    done = (
-        flagged.where(F.col("rule_version") == version)
-        .select("event_id")
-        .unionByName(clean.where(F.col("rule_version") == version).select("event_id"))
-    )
+    done = finished_ids(flagged, clean, version)
     return edits.join(done, edits["evt_id"] == done["event_id"], "left_anti")
 
 
+@contextmanager
+def pending_rows(
+    edits: DataFrame, flagged: DataFrame, clean: DataFrame, version: str
+) -> Iterator[DataFrame]:
+    """:func:`pending` for wide tables, where the texts should not be shuffled.
+
+    A version that has never run needs no join. Otherwise only ids meet in the anti join; what
+    is left is staged, and the texts are read against it: with few pending ids Spark broadcasts
+    them by their known size, with many it shuffles both sides.
+    """
+    if finished_ids(flagged, clean, version).isEmpty():
+        yield edits
+        return
+    ids = pending(edits.select("evt_id").distinct(), flagged, clean, version)
+    with staged(ids, "pending") as todo:
+        yield edits.join(todo, edits["evt_id"].eqNullSafe(todo["evt_id"]), "left_semi")
+
+
 def rescan(
     spark: SparkSession, root: str, version: str = rulebook.LATEST_VERSION
 ) -> dict[str, int]:
@@ -41,21 +65,26 @@ def rescan(
     edits = read_table(spark, root, "edits").select(*SCAN_COLUMNS, "dt_user")
     flagged = read_table(spark, root, "flagged")
     clean = read_table(spark, root, "clean")
-    stage = scratch_dir(spark, "rescan")
-    todo = pending(edits, flagged, clean, version)
-    with_flags(todo, rulebook.RULE_SETS[version]).write.parquet(stage)
-    rows = spark.read.parquet(stage)
-
     run = f"rescan-{version}-{uuid.uuid4().hex}"
     as_of = F.lit(datetime.now(timezone.utc))
-    write_table(flagged_records(rows, version, as_of), root, "flagged", run)
-    write_table(clean_markers(rows, version), root, "clean", run)
-    counts = rows.agg(
-        F.count("*").alias("scanned"), F.count_if(F.size("flag_types") > 0).alias("flagged")
-    ).first()
+    with pending_rows(edits, flagged, clean, version) as todo:
+        with staged(screened_for_tables(todo, version), "rescan") as rows:
+            write_table(flagged_records(rows, version, as_of), root, "flagged", run)
+            write_table(clean_markers(rows, version), root, "clean", run)
+            counts = rows.agg(
+                F.count("*").alias("scanned"),
+                F.count_if(F.size("flag_types") > 0).alias("flagged"),
+            ).first()
     return {"scanned": counts["scanned"], "flagged": counts["flagged"]}
 
 
+def screened_for_tables(edits: DataFrame, version: str) -> DataFrame:
+    """Screened rows without what the tables do not keep: of clean rows only the id."""
+    rows = with_flags(edits, rulebook.RULE_SETS[version]).drop("parsed_comment")
+    sample = F.when(F.size("flag_types") > 0, F.substring("comment", 1, SAMPLE_LENGTH))
+    return rows.withColumn("comment", sample)
+
+
 def clean_markers(rows: DataFrame, version: str) -> DataFrame:
     return rows.where(F.size("flag_types") == 0).select(
         F.col("evt_id").alias("event_id"), F.lit(version).alias("rule_version")

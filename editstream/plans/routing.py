@@ -14,7 +14,7 @@ from editstream.operators.detect import flagged_records, with_flags
 from editstream.operators.flatten import clean_booleans, flat_records, flatten
 from editstream.operators.ingest import accepted_events, parse_events
 from editstream.operators.validate import dead_letters, valid_rows, validate
-from editstream.session import scratch_dir
+from editstream.session import staged
 from editstream.sources.tables import write_table
 
 
@@ -80,14 +80,11 @@ def route_batch(
 ) -> None:
     """Route a bounded input of any size.
 
-    The screened rows are written once to the shared scratch folder and the three sinks read
-    their columns of it: parsing and screening happen once, and a lost executor costs the
-    repeat of its own tasks only.
+    The screened rows are staged and each of the three sinks reads its columns of them, so
+    parsing and screening happen once.
     """
-    spark = lines.sparkSession
-    stage = scratch_dir(spark, "screened")
-    screened(lines, rulebook.RULE_SETS[version]).write.parquet(stage)
-    write_routes(spark.read.parquet(stage), root, batch_id, version)
+    with staged(screened(lines, rulebook.RULE_SETS[version]), "screened") as rows:
+        write_routes(rows, root, batch_id, version)
 
 
 def route_micro_batch(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,3 +67,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     root = shared or tempfile.mkdtemp(prefix="editstream-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The rows of ``df``, written once to the scratch folder and read from there.
+
+    What follows does not repeat the work behind ``df``, and a lost executor costs the repeat of
+    its own tasks only. Being a table, it also has a known size, by which Spark can choose to
+    broadcast it. The folder is removed afterwards.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

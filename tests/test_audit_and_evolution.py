@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from editstream.functions.columns import join_group_sizes
 from editstream.operators import audit, evolution, ingest
 from editstream.schemas import EDIT_SCHEMA
 
@@ -39,7 +40,7 @@ def test_content_copies_against_brute_force(edit_rows):
     assert sorted((r["copies"], r["first_id"], r["last_id"]) for r in groups) == [
         (2, "3", "5"), (4, "0", "6"),
     ]
-    members = audit.repeated_content_members(df, salts=3).collect()
+    members = audit.repeated_content_members(df).collect()
     assert sorted((r["evt_id"], r["copies"]) for r in members) == [
         ("0", 4), ("0", 4), ("2", 4), ("3", 2), ("5", 2), ("6", 4),
     ]
@@ -129,3 +130,24 @@ def test_observed_compatibility(lines):
     assert status["domain"] == ("not_required", True)
     assert status["new_key"] == ("added", False)
     assert status["comment"] == ("removed", True)
+
+
+def test_rows_of_a_hot_group_are_not_shuffled(edit_rows):
+    """One group with most rows, one with a few, the rest single."""
+    contents = ["hot"] * 3000 + ["warm"] * 3 + [f"c{i}" for i in range(200)]
+    rows = [{"evt_id": str(i), "comment": c, "title": "", "user": ""} for i, c in enumerate(contents)]
+    df = edit_rows(*rows)
+    digest = audit.content_digest().alias("content")
+    groups = audit.repeated_content(df).select("content", "copies")
+    members = join_group_sizes(df.select("evt_id", digest), groups, "content", "copies", most_hot=10)
+    got = sorted((int(r["evt_id"]), r["copies"]) for r in members.collect())
+    assert got == [(i, 3000) for i in range(3000)] + [(i, 3) for i in range(3000, 3003)]
+    whole = audit.repeated_content_members(df)
+    assert sorted((int(r["evt_id"]), r["copies"]) for r in whole.collect()) == got
+
+
+def test_late_events_sort_inside_buckets(edit_rows):
+    late = audit.late_events(edit_rows({"evt_id": "1"}), F.col("evt_id").cast("long"))
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    # The only window over a whole domain reads one row per bucket.
+    assert plan.count("Window [max(dt_server") == 1 and plan.count("Window [max(peak") == 1
