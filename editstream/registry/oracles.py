@@ -755,3 +755,16 @@ SELECT {ts_text('dt_server')} AS _validation_timestamp,
        CASE WHEN fate = 'malformed' THEN 'OTHER' ELSE 'TYPE_MISMATCH' END AS _error_category,
        type AS event_type, CASE WHEN f = 9 THEN '123' ELSE title END AS title
 FROM raw WHERE fate IN ('malformed', 'invalid') ORDER BY dt_server DESC LIMIT 50"""
+
+# The patch drops the NULL columns, as the JSON of a Spark row does.
+_JSON_STRUCT = ", ".join(
+    f'"{n}" := ' + ("strftime(dt_server, '%Y-%m-%dT%H:%M:%S.000Z')" if n == "dt_server" else f'"{n}"')
+    for n in EDIT_FIELDS
+)
+ORACLES["row_sizes"] = f"""WITH {EDITS},
+sizes AS (
+  SELECT strlen(CAST(json_merge_patch('{{}}', to_json(struct_pack({_JSON_STRUCT}))) AS VARCHAR))
+    AS size FROM edits
+)
+SELECT count(*) AS rows, CAST(sum(size) AS BIGINT) AS total_bytes, avg(size) AS mean_bytes,
+       max(size) AS max_bytes FROM sizes"""
