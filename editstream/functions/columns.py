@@ -29,10 +29,17 @@ def present_only(items: Iterable[Column]) -> Column:
     return F.array_except(F.array(*items), F.array(F.lit(None)))
 
 
+# Fixed value: the characters that Python's str.strip removes.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def python_strip(text: Column) -> Column:
-    r"""Strip what Python's ``str.strip`` strips: Unicode blanks and U+001C-U+001F."""
-    blank = r"[\s\x{1C}-\x{1F}\x{85}]"
-    return F.regexp_replace(text, rf"(?U)^{blank}+|{blank}+$", "")
+    """Strip all Unicode blanks and U+001C-U+001F; Spark's plain ``trim`` strips spaces only."""
+    return F.trim(text, F.lit(BLANKS))
 
 
 def sanitize_text(value: Column, max_length: int = 1000) -> Column:

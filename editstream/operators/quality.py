@@ -112,13 +112,14 @@ def _is_missing(name: str) -> Column:
 def clean_records(records: DataFrame) -> DataFrame:
     """Cleaned columns with ``is_valid``, ``errors``, ``warnings`` and ``quality_score``.
 
-    Takes the flat VARIANT columns, the parsed ``event`` and its ``record_kind``. A record
+    Takes the flat VARIANT columns, the line in ``value`` and its ``record_kind``. A record
     with a required column missing keeps no data; its columns are NULL.
     """
     is_record = F.coalesce(
         V.is_object(F.col("record_kind")) & (F.col("record_kind") != "OBJECT<>"), F.lit(False)
     )
-    keys = F.map_keys(F.col("event").cast("map<string,variant>"))
+    # The key names come from the text: a map of the event would copy every value.
+    keys = F.json_object_keys(F.col("value").cast("string"))
     unknown = F.when(
         F.col("is_record"),
         F.array_sort(F.array_except(keys, F.array(*[F.lit(name) for name in EDIT_FIELDS]))),

@@ -81,6 +81,16 @@ def read_table(
     return spark.read.schema(schema).parquet(table_path(root, table))
 
 
+def register_views(spark: SparkSession, root: str, name: str = "edits") -> list[str]:
+    """The tables as SQL views: ``<name>``, ``<name>_dead_letter``, ``_flagged``, ``_clean``."""
+    views = []
+    for table in SCHEMAS:
+        view = name if table == "edits" else f"{name}_{table}"
+        read_table(spark, root, table).createOrReplaceTempView(view)
+        views.append(view)
+    return views
+
+
 def scan_columns(edits: DataFrame) -> DataFrame:
     return edits.select(SCAN_COLUMNS)
 

@@ -240,3 +240,32 @@ def test_rescan_joins_once(spark, edit_rows):
     plan = rescan.pending(edits, flagged, flagged, rulebook.LATEST_VERSION)
     assert plan.count() == 1
     assert plan._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") == 1
+
+
+def test_tables_in_sql(spark, lines, event, tmp_path):
+    root = str(tmp_path)
+    tables.ensure_tables(spark, root)
+    routing.route_batch(lines(*sample_events(event)), root, "load")
+    views = tables.register_views(spark, root, "wiki")
+    assert views == ["wiki", "wiki_dead_letter", "wiki_flagged", "wiki_clean"]
+    by_type = spark.sql("SELECT type, COUNT(*) AS count FROM wiki GROUP BY type ORDER BY count DESC")
+    assert [tuple(r) for r in by_type.collect()] == [("edit", 4), ("log", 1)]
+    rate = spark.sql(
+        """SELECT main.domain, COUNT(DISTINCT main.evt_id) AS total_events,
+                  COUNT(DISTINCT f.event_id) AS flagged_events
+           FROM wiki main LEFT JOIN wiki_flagged f ON main.evt_id = f.event_id
+           GROUP BY main.domain HAVING total_events > 1"""
+    )
+    assert [tuple(r) for r in rate.collect()] == [("d", 5, 2)]
+    flags = spark.sql(
+        "SELECT flag, COUNT(*) AS n FROM wiki_flagged LATERAL VIEW explode(map_keys(ai_flags)) k AS flag"
+        " WHERE ai_flags[flag] GROUP BY flag"
+    )
+    assert [tuple(r) for r in flags.collect()] == [("promotional_language", 2)]
+    categories = spark.sql(
+        "SELECT _error_category, get_json_object(_error_details, '$[0].field') AS field"
+        " FROM wiki_dead_letter ORDER BY 1, 2"
+    )
+    assert [tuple(r) for r in categories.collect()] == [
+        ("OTHER", "_root"), ("TYPE_MISMATCH", "title"), ("TYPE_MISMATCH", "title"),
+    ]
