@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from editstream.llm import line_dedup, secrets
+from editstream.llm import decontaminate, licenses, line_dedup, secrets
 
 QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_licenses": licenses.op3_licenses,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op9_secrets": secrets.op9_secrets,
 }
 
 ORACLES = {
+    "op2_decontaminate": decontaminate.SQL,
+    "op3_licenses": licenses.SQL,
     "op7_line_dedup": line_dedup.SQL,
     "op9_secrets": secrets.SQL,
 }
