@@ -21,7 +21,7 @@ PIECES = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
 CHUNK_CHARS = 2_000_000
-CACHED_PIECES = 400_000
+CACHED_PIECES = 800_000
 
 
 def default_path() -> str:
@@ -170,6 +170,18 @@ class ByteBPE:
         return self.bytes[places].tobytes().decode("utf-8", "replace")
 
 
+LOADED: dict[int, ByteBPE] = {}
+
+
+def loaded(text: str) -> ByteBPE:
+    """The tokenizer of a file's text, kept in the worker process from task to task."""
+    key = hash(text)
+    if key not in LOADED:
+        LOADED.clear()
+        LOADED[key] = ByteBPE(text)
+    return LOADED[key]
+
+
 def chunks(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes of text, one row at least."""
     sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy()
@@ -190,7 +202,8 @@ def encode_decode(
 
     ``path`` is a byte-level BPE tokenizer file, read by the driver; its text, a few MB, is
     broadcast. Strings of added tokens in a text become their ids. Null and empty texts have no
-    tokens. Every piece of text is merged once per partition and kept (up to a bound) for repeats.
+    tokens. Pieces of text are merged together, a few MB of a partition at a time, and kept (up to a bound)
+    for repeats.
     Returns ``doc, ids`` (little-endian unsigned 32-bit integers) and ``decoded``.
     """
     spark = docs.sparkSession
@@ -202,7 +215,7 @@ def encode_decode(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(shared.value)
+        bpe = loaded(shared.value)
         for batch in batches:
             for part in chunks(batch, "text", CHUNK_CHARS):
                 ids = bpe.encode(part.column("text").to_pylist())

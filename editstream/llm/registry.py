@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from editstream.llm import decontaminate, licenses, line_dedup, secrets
+from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, secrets
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_licenses": licenses.op3_licenses,
+    "op6_language": language_id.op6_language,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_bpe": bpe.op8_bpe,
     "op9_secrets": secrets.op9_secrets,
 }
 
