@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, secrets
+from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, near_dedup, secrets
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_bpe": bpe.op8_bpe,
     "op9_secrets": secrets.op9_secrets,
+    "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
 ORACLES = {
