@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, near_dedup, secrets
+from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, near_dedup, secrets, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_licenses": licenses.op3_licenses,
     "op6_language": language_id.op6_language,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_warc": warc.SQL,
     "op2_decontaminate": decontaminate.SQL,
     "op3_licenses": licenses.SQL,
     "op7_line_dedup": line_dedup.SQL,
