@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, near_dedup, secrets, warc
+from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, near_dedup, neighbours, secrets, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_licenses": licenses.op3_licenses,
+    "op5_neighbours": neighbours.op5_neighbours,
     "op6_language": language_id.op6_language,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_bpe": bpe.op8_bpe,
