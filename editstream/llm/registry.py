@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, near_dedup, neighbours, secrets, warc
+import corpus_pipeline
+from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, near_dedup, neighbours, repeats, secrets, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_licenses": licenses.op3_licenses,
+    "op4_repeats": repeats.op4_repeats,
     "op5_neighbours": neighbours.op5_neighbours,
     "op6_language": language_id.op6_language,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_bpe": bpe.op8_bpe,
     "op9_secrets": secrets.op9_secrets,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
