@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import heapq
 import json
+import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +19,48 @@ from pyspark.sql import functions as F
 from editstream.llm.common import python_path, table
 
 # Fixed pattern of the byte-level pre-tokenizer.
-PIECES = regex.compile(
-    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PATTERN = (
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^\s{L}{N}]+|\s+(?!\S)|\s+"""
 )
+# The letters and numbers that Unicode 16.0 added to 15.1. Tokenizer files are read with
+# the tables of 16.0, Python's are those of 15.1 and the regex module's newer than both.
+NEW_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65),
+    (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E),
+    (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0),
+    (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED),
+    (0x1E5F0, 0x1E5F0),
+]
+NEW_NUMBERS = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+    (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+]
+PIECES = regex.compile(PATTERN.replace("{L}", r"\p{L}").replace("{N}", r"\p{N}"))
+# Outside these blocks the tables may differ.
+UNSETTLED = regex.compile(r"[^\x00-\u0557\u2000-\u206F\u3000-\u30FF\u4E00-\u9FA5\uAC00-\uD7A3]")
+
+
+def members(kind: str, added: list[tuple[int, int]]) -> str:
+    """The code points of a general category as ranges of a character class."""
+    inside = [unicodedata.category(chr(i))[0] == kind for i in range(0x110000)]
+    for first, last in added:
+        inside[first : last + 1] = [True] * (last + 1 - first)
+    edges = [i for i in range(1, len(inside)) if inside[i] != inside[i - 1]]
+    return "".join(f"\\U{a:08X}-\\U{b - 1:08X}" for a, b in zip(edges[::2], edges[1::2]))
+
+
+@cache
+def exact_pieces() -> regex.Pattern:
+    letters, numbers = members("L", NEW_LETTERS), members("N", NEW_NUMBERS)
+    return regex.compile(PATTERN.replace("{L}", letters).replace("{N}", numbers))
+
+
+def split(text: str) -> list[str]:
+    if text.isascii() or not UNSETTLED.search(text):
+        return PIECES.findall(text)
+    return exact_pieces().findall(text)
+
+
 CHUNK_CHARS = 2_000_000
 CACHED_PIECES = 800_000
 
@@ -139,27 +180,27 @@ class ByteBPE:
     def pieces(self, text: str) -> list[str | int]:
         """Pieces to be merged, and ids of added tokens."""
         if self.special is None or not self.special.search(text):
-            return PIECES.findall(text)
+            return split(text)
         out: list[str | int] = []
         begin = 0
         for found in self.special.finditer(text):
-            out += PIECES.findall(text[begin : found.start()])
+            out += split(text[begin : found.start()])
             out.append(self.added[found.group()])
             begin = found.end()
-        return out + PIECES.findall(text[begin:])
+        return out + split(text[begin:])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
-        split = [self.pieces(t) for t in texts]
+        pieces = [self.pieces(t) for t in texts]
         if len(self.known) > CACHED_PIECES:
             self.known.clear()
-        new = list(set().union(*split).difference(self.known))
+        new = list(set().union(*pieces).difference(self.known))
         for piece in [p for p in new if isinstance(p, int)]:
             self.known[piece] = array("I", [piece]).tobytes()
         new = [p for p in new if isinstance(p, str)]
         self.known.update(zip(new, self.merge_all(new)))
         known = self.known.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in split]
+        return [b"".join(map(known, found)) for found in pieces]
 
     def decode(self, ids: bytes) -> str:
         tokens = np.frombuffer(ids, dtype="<u4")

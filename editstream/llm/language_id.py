@@ -132,20 +132,19 @@ class Languages:
             columns.append(flat[starts[: width[step]] + step].astype(np.int32))
         for language, moves in enumerate(self.tables):
             state = np.zeros(len(starts), dtype=np.int32)
-            # Every block begins a phrase; later ones begin where the path ends.
+            # A phrase begins at the start of the automaton and where its path ends.
             begun = np.zeros(len(starts), dtype=np.int32)
             root = moves[: self.alphabet]
             for step in range(steps):
                 column = columns[step]
                 now = state[: width[step]]
                 to = moves[now + column]
-                missed = np.flatnonzero(to == 0)
-                if len(missed):
-                    to[missed] = root[column[missed]]
-                    begun[missed] += 1
+                begins = np.flatnonzero((now == 0) | (to == 0))
+                to[begins] = root[column[begins]]
+                begun[begins] += 1
                 state[: width[step]] = to
-            # From the start a missing symbol leads to the start again: a phrase of one symbol.
-            np.add.at(counts[:, language], owner, begun + 1)
+            # A symbol that the language lacks leads back to the start: a phrase of one symbol.
+            np.add.at(counts[:, language], owner, begun)
 
 
 def sampled(labelled: DataFrame, sample_docs: int, sample_chars: int) -> dict[str, str]:
