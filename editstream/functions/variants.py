@@ -60,9 +60,11 @@ def text_if_string(value: Column, kind_: Column | None = None) -> Column:
 
 
 def type_name(kind_: Column) -> Column:
-    """The value's type as the validation messages name it."""
+    """The value's type as the validation messages name it; a whole number of over 64 bits is a
+    decimal without a fraction."""
     return (
         F.when(kind_ == "BIGINT", "int")
+        .when(kind_.rlike(r"^DECIMAL\((19|[23]\d),0\)"), "int of over 64 bits")
         .when(kind_ == "STRING", "str")
         .when(kind_ == "BOOLEAN", "bool")
         .when(kind_ == "VOID", "NoneType")

@@ -11,14 +11,16 @@ CONTENT_KEY = ["title", "user", "comment"]
 
 
 def first_per_id(edits: DataFrame, key: str = "evt_id", order: list[str] | None = None) -> DataFrame:
-    """Keep the first row of every id.
+    """Keep the first row of every id, and all rows without an id.
 
-    The filter on the row number becomes a limit before the shuffle, so a task sends at most
+    Rows that agree in ``order`` follow a digest of all their columns. The filter on the row number becomes a limit before the shuffle, so a task sends at most
     one row per id it holds, however often that id is repeated.
     """
     order = order or ["dt_server", "dt_user", "title"]
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return edits.withColumn("_place", place).where("_place = 1").drop("_place")
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    rows = edits.withColumns({"_own": own, "_digest": F.xxhash64(*edits.columns)})
+    place = F.row_number().over(Window.partitionBy(key, "_own").orderBy(*order, "_digest"))
+    return rows.withColumn("_place", place).where("_place = 1").drop("_place", "_own", "_digest")
 
 
 def repeated_ids(edits: DataFrame, key: str = "evt_id") -> DataFrame:
@@ -69,7 +71,7 @@ def late_events(
     """Rows that arrive after a row of the same group with a later server time.
 
     A running maximum over a whole group would sort the group in one task. Instead the arrival
-    sequence is cut into buckets: the maximum per bucket is a small aggregate, the running
+    sequence is cut into buckets (a row without a group or an arrival is in one of its own): the maximum per bucket is a small aggregate, the running
     maximum over buckets a small window, and the window over rows stays inside a bucket.
     """
     rows = edits.withColumn("arrival", arrival.cast("long")).withColumn(
@@ -79,7 +81,11 @@ def late_events(
     earlier_buckets = (
         Window.partitionBy(by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
-    peaks = peaks.select(by, "bucket", F.max("peak").over(earlier_buckets).alias("peak_before"))
+    peaks = peaks.select(
+        F.col(by).alias("_by"),
+        F.col("bucket").alias("_bucket"),
+        F.max("peak").over(earlier_buckets).alias("peak_before"),
+    )
     earlier_rows = (
         Window.partitionBy(by, "bucket")
         .orderBy("arrival")
@@ -88,10 +94,13 @@ def late_events(
     rows = rows.withColumn("peak_inside", F.max("dt_server").over(earlier_rows))
     latest = F.greatest("peak_inside", "peak_before")
     return (
-        rows.join(peaks, [by, "bucket"])
+        rows.join(
+            peaks,
+            F.col(by).eqNullSafe(F.col("_by")) & F.col("bucket").eqNullSafe(F.col("_bucket")),
+        )
         .withColumn("latest_before", latest)
         .where(F.col("latest_before") > F.col("dt_server"))
-        .drop("bucket", "peak_inside", "peak_before")
+        .drop("bucket", "peak_inside", "peak_before", "_by", "_bucket")
     )
 
 

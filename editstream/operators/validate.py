@@ -31,9 +31,14 @@ EXPECTED_WORDS = {
     "TIMESTAMP": "timestamp (int/string)",
 }
 MALFORMED_MESSAGE = "Input is not a valid dictionary"
+MISSING_MESSAGE = "Required field {} is missing"
+MISMATCH_MESSAGE = "Expected {} for {}, got "
 # --------------------------------------------------------
 
 
+TIMESTAMPS = [name for name in EDIT_FIELDS if DECLARED[name] == "TIMESTAMP"]
+
+
 def _kind(name: str) -> Column:
     return F.col(f"kind_of_{name}")
 
@@ -62,7 +67,7 @@ def _error(category: str, field: str, expected: str, actual: Column, message: Co
 
 def _missing_error(name: str) -> Column:
     return _error(
-        MISSING, name, DECLARED[name], F.lit("None"), F.lit(f"Required field {name} is missing")
+        MISSING, name, DECLARED[name], F.lit("None"), F.lit(MISSING_MESSAGE.format(name))
     )
 
 
@@ -74,17 +79,39 @@ def _mismatch_error(name: str) -> Column:
         expected,
         V.display_text(F.col(name), _kind(name)),
         F.concat(
-            F.lit(f"Expected {EXPECTED_WORDS[expected]} for {name}, got "),
+            F.lit(MISMATCH_MESSAGE.format(EXPECTED_WORDS[expected], name)),
             V.type_name(_kind(name)),
         ),
     )
 
 
+def _unreadable(name: str) -> Column:
+    """True for a timestamp of a fitting type that is no time of the years 1 to 9999.
+
+    Such a value cannot be kept in its column, so its row is not valid.
+    """
+    fits = _kind(name).isin(V.ACCEPTED_KINDS["TIMESTAMP"])
+    time = V.typed(F.col(name), _kind(name), "TIMESTAMP")
+    return F.coalesce(fits & time.isNull(), F.lit(False))
+
+
+def _unreadable_error(name: str) -> Column:
+    return _error(
+        VALIDATION,
+        name,
+        DECLARED[name],
+        V.display_text(F.col(name), _kind(name)),
+        F.lit(f"Value of {name} is no time of the years 1 to 9999"),
+    )
+
+
 def field_errors() -> Column:
-    """Errors of a record: missing required columns first, then the columns in order."""
+    """Errors of a record: missing required columns first, then mistyped columns in order, then
+    unreadable times."""
+    unreadable = [F.when(_unreadable(name), _unreadable_error(name)) for name in TIMESTAMPS]
     missing = [F.when(_kind(name).isNull(), _missing_error(name)) for name in REQUIRED_COLUMNS]
     mismatched = [F.when(~_accepted(name), _mismatch_error(name)) for name in EDIT_FIELDS]
-    return present_only(missing + mismatched)
+    return present_only(missing + mismatched + unreadable)
 
 
 def error_category(errors: Column) -> Column:
@@ -106,9 +133,10 @@ def validate(records: DataFrame, payload: Column | None = None) -> DataFrame:
     only for rows that fail.
     """
     all_accepted = reduce(and_, [_accepted(name) for name in EDIT_FIELDS])
+    all_readable = reduce(and_, [~_unreadable(name) for name in TIMESTAMPS])
     all_present = reduce(and_, [_kind(name).isNotNull() for name in REQUIRED_COLUMNS])
     records = compute_once(
-        with_kinds(records), is_valid=~F.col("malformed") & all_present & all_accepted
+        with_kinds(records), is_valid=~F.col("malformed") & all_present & all_accepted & all_readable
     )
     carried = [
         c

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from editstream.functions import rulebook
 from editstream.operators.detect import SAMPLE_LENGTH, flagged_records, with_flags
-from editstream.session import staged
+from editstream.plans.routing import RuleSet, rule_set
+from editstream.session import sized_shuffles, staged
 from editstream.sources.tables import SCAN_COLUMNS, read_table, write_table
 
 
@@ -55,20 +56,21 @@ def pending_rows(
 
 
 def rescan(
-    spark: SparkSession, root: str, version: str = rulebook.LATEST_VERSION
+    spark: SparkSession, root: str, rules: str | RuleSet = rulebook.LATEST_VERSION
 ) -> dict[str, int]:
     """Screen what is pending and append to the flagged and clean tables.
 
     The flagged rows are written first; should the job end between the two writes, the next
     run finds them and only adds the clean rows.
     """
+    version = rule_set(rules).version
     edits = read_table(spark, root, "edits").select(*SCAN_COLUMNS, "dt_user")
     flagged = read_table(spark, root, "flagged")
     clean = read_table(spark, root, "clean")
     run = f"rescan-{version}-{uuid.uuid4().hex}"
     as_of = F.lit(datetime.now(timezone.utc))
-    with pending_rows(edits, flagged, clean, version) as todo:
-        with staged(screened_for_tables(todo, version), "rescan") as rows:
+    with sized_shuffles(edits), pending_rows(edits, flagged, clean, version) as todo:
+        with staged(screened_for_tables(todo, rule_set(rules).rules), "rescan") as rows:
             write_table(flagged_records(rows, version, as_of), root, "flagged", run)
             write_table(clean_markers(rows, version), root, "clean", run)
             counts = rows.agg(
@@ -78,9 +80,9 @@ def rescan(
     return {"scanned": counts["scanned"], "flagged": counts["flagged"]}
 
 
-def screened_for_tables(edits: DataFrame, version: str) -> DataFrame:
+def screened_for_tables(edits: DataFrame, rules: list[dict]) -> DataFrame:
     """Screened rows without what the tables do not keep: of clean rows only the id."""
-    rows = with_flags(edits, rulebook.RULE_SETS[version]).drop("parsed_comment")
+    rows = with_flags(edits, rules).drop("parsed_comment")
     sample = F.when(F.size("flag_types") > 0, F.substring("comment", 1, SAMPLE_LENGTH))
     return rows.withColumn("comment", sample)
 

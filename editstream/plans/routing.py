@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -14,7 +15,8 @@ from editstream.operators.detect import flagged_records, with_flags
 from editstream.operators.flatten import clean_booleans, flat_records, flatten
 from editstream.operators.ingest import accepted_events, parse_events
 from editstream.operators.validate import dead_letters, valid_rows, validate
-from editstream.session import staged
+from editstream.schemas import EDIT_FIELDS
+from editstream.session import sized_shuffles, staged
 from editstream.sources.tables import write_table
 
 
@@ -47,12 +49,25 @@ def validated_records(lines: DataFrame) -> DataFrame:
     return validate(records, payload=F.col("value"))
 
 
-def flat_rows(lines: DataFrame) -> DataFrame:
-    """The plain form of the job: accepted, flattened, booleans cleaned; no rules, no routing."""
-    rows = flat_validated(lines)
-    return rows.where("not malformed").drop(
-        "malformed", "is_valid", "errors", "payload", "absent_fields"
-    )
+def flat_lines(lines: DataFrame) -> DataFrame:
+    """The plain form of the job: accepted, flattened, booleans cleaned, as JSON text in ``value``.
+
+    Nothing is validated: a value of the wrong type is written as it is, and so is a JSON null.
+    """
+    records = clean_booleans(flatten(accepted_events(lines)), "minor", "patrolled")
+    return records.where("not malformed").select(F.to_json(F.struct(*EDIT_FIELDS)).alias("value"))
+
+
+class RuleSet(NamedTuple):
+    """Rules and the version under which their hits are stored; without rules detection is off."""
+
+    version: str
+    rules: list[dict]
+
+
+def rule_set(rules: str | RuleSet) -> RuleSet:
+    """A published version by its name, or a rule set as it is, such as ``load_rules`` gives."""
+    return RuleSet(*rules) if isinstance(rules, tuple) else RuleSet(rules, rulebook.RULE_SETS[rules])
 
 
 def routed(screened_rows: DataFrame, version: str, as_of) -> dict[str, DataFrame]:
@@ -76,26 +91,28 @@ def route_batch(
     lines: DataFrame,
     root: str,
     batch_id: str | int,
-    version: str = rulebook.LATEST_VERSION,
+    rules: str | RuleSet = rulebook.LATEST_VERSION,
 ) -> None:
-    """Route a bounded input of any size.
+    """Route a bounded input of any size, under a published version or own rules.
 
     The screened rows are staged and each of the three sinks reads its columns of them, so
     parsing and screening happen once.
     """
-    with staged(screened(lines, rulebook.RULE_SETS[version]), "screened") as rows:
-        write_routes(rows, root, batch_id, version)
+    chosen = rule_set(rules)
+    with sized_shuffles(lines), staged(screened(lines, chosen.rules), "screened") as rows:
+        write_routes(rows, root, batch_id, chosen.version)
 
 
 def route_micro_batch(
     lines: DataFrame,
     root: str,
     batch_id: int,
-    version: str = rulebook.LATEST_VERSION,
+    rules: str | RuleSet = rulebook.LATEST_VERSION,
 ) -> None:
     """Route one micro-batch, whose size the trigger bounds; its rows are kept for three reads."""
-    rows = screened(lines, rulebook.RULE_SETS[version]).persist(StorageLevel.MEMORY_AND_DISK)
+    chosen = rule_set(rules)
+    rows = screened(lines, chosen.rules).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_routes(rows, root, batch_id, version)
+        write_routes(rows, root, batch_id, chosen.version)
     finally:
         rows.unpersist()

@@ -9,8 +9,8 @@ from __future__ import annotations
 from itertools import combinations
 
 from editstream.functions import rulebook as R
-from editstream.operators.quality import NUMBER
 from editstream.schemas import DECLARED, EDIT_FIELDS, REQUIRED_COLUMNS
+from editstream.sources.tables import SCAN_COLUMNS
 from editstream.sources.views import SNIPPETS
 
 ORACLES: dict[str, str] = {}
@@ -29,7 +29,7 @@ SNIPPET_LIST = "[" + ", ".join(text(s) for s in SNIPPETS) + "]"
 EDITS = f"""
 base AS (
   SELECT e.event_id AS i, e.ts, e.user_id, e.event_type, d.lang, d.n_chars,
-         replace(d.text, '*', '') AS prose
+         d.text AS prose
   FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
 ),
 kinds AS (
@@ -81,6 +81,7 @@ raw AS (
            CASE WHEN f = 7 THEN NULL ELSE domain END AS domain,
            CASE WHEN f IN (8, 18) THEN NULL WHEN f = 13 THEN 6 WHEN f = 16 THEN 1 ELSE ns END AS ns,
            CASE WHEN f = 12 AND is_edit THEN true ELSE minor END AS minor,
+           CASE WHEN f IN (23, 24) THEN NULL ELSE dt_server END AS dt_server,
            CASE WHEN f = 21 THEN repeat(comment, CAST(1000 // length(comment) + 1 AS BIGINT))
                 ELSE comment END AS comment
          ),
@@ -88,8 +89,8 @@ raw AS (
               WHEN f = 3 THEN 'MISSING_META_FIELD' WHEN f IN (4, 5) THEN 'BAD_TYPE'
               WHEN f = 6 THEN 'CANARY' ELSE 'OK' END AS reason,
          CASE WHEN f <= 6 THEN 'dropped' WHEN f = 11 AND is_edit THEN 'malformed'
-              WHEN f IN (7, 8, 9, 14, 18, 19) THEN 'invalid' ELSE 'valid' END AS fate
-  FROM (SELECT *, i % 50 AS f FROM edits)
+              WHEN f IN (7, 8, 9, 14, 18, 19, 23, 24) THEN 'invalid' ELSE 'valid' END AS fate
+  FROM (SELECT *, i % 50 AS f, dt_server AS sent FROM edits)
 )"""
 
 FLAT = f"""{EDITS},
@@ -253,8 +254,18 @@ FROM raw WHERE reason = 'OK' GROUP BY ALL"""
 _VALID_EDITS = f"WITH {RAW} SELECT {column_list()} FROM raw WHERE fate = 'valid'"
 ORACLES["flat_edits"] = _VALID_EDITS
 ORACLES["streamed_edits"] = _VALID_EDITS
+_FLAT_TEXT = {
+    "title": "CASE WHEN f = 9 THEN '123' ELSE title END",
+    "bot": "CASE WHEN f = 14 THEN '1' ELSE CAST(bot AS VARCHAR) END",
+    "ns": "CASE f WHEN 8 THEN 'zero' WHEN 16 THEN 'true' WHEN 18 THEN '1.5' ELSE CAST(ns AS VARCHAR) END",
+    "dt_server": "CASE f WHEN 15 THEN dt_user WHEN 23 THEN 'not a time' WHEN 24 THEN '99999999999999'"
+    " ELSE CAST(epoch(sent)::BIGINT AS VARCHAR) END",
+}
+_FLAT_COLUMNS = ", ".join(
+    _FLAT_TEXT.get(n, f'CAST("{n}" AS VARCHAR)') + f' AS "{n}"' for n in EDIT_FIELDS
+)
 ORACLES["json_lines_round_trip"] = f"""WITH {RAW}
-SELECT {column_list()} FROM raw WHERE fate IN ('valid', 'invalid')"""
+SELECT {_FLAT_COLUMNS} FROM raw WHERE fate IN ('valid', 'invalid')"""
 ORACLES["published_messages"] = f"""WITH {EDITS}
 SELECT evt_id, md5(comment) AS comment_md5, log_id IS NULL AS log_id_is_null FROM edits"""
 
@@ -346,10 +357,13 @@ _FAULTS = """(VALUES
   (9, 'title', 'STRING', '123', 'Expected string for title, got int'),
   (14, 'bot', 'BOOL', '1', 'Expected boolean for bot, got int'),
   (18, 'ns', 'INT64', '1.5', 'Expected integer for ns, got float'),
-  (19, 'evt_id', 'STRING', 'None', 'Expected string for evt_id, got NoneType')
+  (19, 'evt_id', 'STRING', 'None', 'Expected string for evt_id, got NoneType'),
+  (23, 'dt_server', 'TIMESTAMP', 'not a time', 'Value of dt_server is no time of the years 1 to 9999'),
+  (24, 'dt_server', 'TIMESTAMP', '99999999999999', 'Value of dt_server is no time of the years 1 to 9999')
 ) AS faults(f, field, expected_type, actual_value, message)"""
 ORACLES["validation_errors"] = f"""WITH {RAW}
-SELECT 'TYPE_MISMATCH' AS category, field, expected_type, actual_value, message, count(*) AS errors
+SELECT CASE WHEN f IN (23, 24) THEN 'VALIDATION_ERROR' ELSE 'TYPE_MISMATCH' END AS category,
+       field, expected_type, actual_value, message, count(*) AS errors
 FROM raw JOIN {_FAULTS} USING (f) GROUP BY ALL"""
 
 
@@ -368,7 +382,8 @@ def _dead_column(name: str) -> str:
 
 _DEAD = f"""WITH {RAW}
 SELECT {column_list(**{name: _dead_column(name) for name in EDIT_FIELDS})},
-       CASE WHEN fate = 'malformed' THEN 'OTHER' ELSE 'TYPE_MISMATCH' END AS _error_category,
+       CASE WHEN fate = 'malformed' THEN 'OTHER' WHEN f IN (23, 24) THEN 'VALIDATION_ERROR'
+            ELSE 'TYPE_MISMATCH' END AS _error_category,
        '1.0.0' AS _schema_version
 FROM raw WHERE fate IN ('malformed', 'invalid')"""
 ORACLES["dead_letters"] = _DEAD
@@ -412,7 +427,7 @@ violations(f, edits_only, field, expected, actual) AS (VALUES
   (8, false, 'namespace', 'BIGINT', 'str'), (16, false, 'namespace', 'BIGINT', 'bool'),
   (18, false, 'namespace', 'BIGINT', 'float'), (9, false, 'title', 'STRING', 'int'),
   (10, false, 'title', 'STRING', 'NoneType'), (14, false, 'bot', 'BOOLEAN', 'int'),
-  (12, true, 'minor', 'BOOLEAN', 'str'), (15, false, 'timestamp', 'BIGINT', 'str'))
+  (12, true, 'minor', 'BOOLEAN', 'str'), (15, false, 'timestamp', 'BIGINT', 'str'), (23, false, 'timestamp', 'BIGINT', 'str'))
 SELECT field, expected, actual, count(*) AS rows
 FROM raw JOIN violations v ON raw.f = v.f AND (is_edit OR NOT edits_only) GROUP BY ALL"""
 
@@ -637,13 +652,17 @@ by_version AS ({" UNION ALL ".join(
     for v in ("1.0.2", "1.0.3"))})
 SELECT rule_version, count_if(flags <> '') AS flagged_events, count_if(flags = '') AS clean_events
 FROM by_version GROUP BY rule_version"""
-ORACLES["pending_scan"] = f"""{FLAGGED}
-SELECT evt_id, type, domain, ns FROM edits m
-WHERE NOT EXISTS (SELECT 1 FROM flagged g WHERE g.evt_id = m.evt_id AND g.type = 'edit')
-  AND NOT EXISTS (SELECT 1 FROM edits c WHERE c.evt_id = m.evt_id AND c.type = 'new')"""
+ORACLES["pending_scan"] = f"""{FLAGGED},
+done AS MATERIALIZED (
+  SELECT evt_id FROM flagged WHERE type = 'edit' UNION ALL SELECT evt_id FROM edits WHERE type = 'new'
+)
+SELECT {column_list(SCAN_COLUMNS)} FROM edits ANTI JOIN done USING (evt_id)"""
 ORACLES["stored_edits_by_day"] = f"""{_E}
 SELECT {column_list()} FROM edits WHERE CAST(dt_server AS DATE) = DATE '2024-01-15'"""
 
+ORACLES["compacted_edits"] = ORACLES["stored_edits_by_day"]
+ORACLES["migrated_table"] = f"{_E}\nSELECT {column_list()} FROM edits"
+
 # --- Streams over time, backlog ---------------------------------------------------------------------
 
 for _unit in ("minute", "hour", "day"):
@@ -743,16 +762,20 @@ _MISMATCH_SAMPLES = "|".join(
         "Expected integer for ns, got str",
     ]
 )
+_UNREADABLE_SAMPLES = "|".join(["Value of dt_server is no time of the years 1 to 9999"] * 2)
 _MALFORMED_SAMPLES = "|".join(["Input is not a valid dictionary"] * 5)
 ORACLES["dead_letters_by_category"] = f"""WITH {RAW}
-SELECT CASE WHEN fate = 'malformed' THEN 'OTHER' ELSE 'TYPE_MISMATCH' END AS _error_category,
+SELECT CASE WHEN fate = 'malformed' THEN 'OTHER' WHEN f IN (23, 24) THEN 'VALIDATION_ERROR'
+            ELSE 'TYPE_MISMATCH' END AS _error_category,
        count(*) AS error_count,
-       CASE WHEN fate = 'malformed' THEN '{_MALFORMED_SAMPLES}' ELSE '{_MISMATCH_SAMPLES}' END
+       CASE WHEN fate = 'malformed' THEN '{_MALFORMED_SAMPLES}'
+            WHEN f IN (23, 24) THEN '{_UNREADABLE_SAMPLES}' ELSE '{_MISMATCH_SAMPLES}' END
          AS sample_errors
-FROM raw WHERE fate IN ('malformed', 'invalid') GROUP BY fate"""
+FROM raw WHERE fate IN ('malformed', 'invalid') GROUP BY 1, 3"""
 ORACLES["recent_failures"] = f"""WITH {RAW}
 SELECT {ts_text('dt_server')} AS _validation_timestamp,
-       CASE WHEN fate = 'malformed' THEN 'OTHER' ELSE 'TYPE_MISMATCH' END AS _error_category,
+       CASE WHEN fate = 'malformed' THEN 'OTHER' WHEN f IN (23, 24) THEN 'VALIDATION_ERROR'
+            ELSE 'TYPE_MISMATCH' END AS _error_category,
        type AS event_type, CASE WHEN f = 9 THEN '123' ELSE title END AS title
 FROM raw WHERE fate IN ('malformed', 'invalid') ORDER BY dt_server DESC LIMIT 50"""
 

@@ -14,7 +14,7 @@ from editstream.operators import audit, detect, evolution, flatten, ingest, qual
 from editstream.plans import analytics, rescan, routing
 from editstream.registry.plain import plain
 from editstream.schemas import EDIT_FIELDS, EDIT_SCHEMA
-from editstream.session import configure, scratch_dir, size_shuffles, spread
+from editstream.session import configure, scratch_dir
 from editstream.sources import event_lines, rule_files, tables, views
 from editstream.streaming import ingest as stream_ingest
 from editstream.streaming import rates
@@ -58,9 +58,7 @@ def _typed(records: DataFrame, names: list[str]) -> DataFrame:
 
 def _text_table(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
     configure(spark)
-    rows = views.table(spark, sf_dir, name)
-    size_shuffles(rows)
-    return spread(rows).withColumnRenamed(text, "comment")
+    return views.table(spark, sf_dir, name).withColumnRenamed(text, "comment")
 
 
 # --- Sources, ingest, projections ------------------------------------------------------------
@@ -170,10 +168,13 @@ def route_counts(spark, sf_dir):
 
 @query
 def json_lines_round_trip(spark, sf_dir):
-    """The plain job of flattening: JSON lines written, and read back under the declared schema."""
+    """The plain job of flattening: JSON lines written, and every value's text read back."""
     path = scratch_dir(spark, "flat-json")
-    tables.write_json_lines(routing.flat_rows(views.raw_lines(spark, sf_dir)), path)
-    return spark.read.schema(EDIT_SCHEMA).json(path)
+    routing.flat_lines(views.raw_lines(spark, sf_dir)).write.text(path)
+    record = F.try_parse_json("value")
+    return spark.read.text(path).select(
+        [V.as_text(V.child(record, f"$.{name}")).alias(name) for name in EDIT_FIELDS]
+    )
 
 
 @query
@@ -370,7 +371,7 @@ def sanitized_documents(spark, sf_dir):
 
 @query
 def safe_casts(spark, sf_dir):
-    rows = spread(views.events_and_documents(spark, sf_dir)[0])
+    rows = views.events_and_documents(spark, sf_dir)[0]
     i = F.col("event_id")
     number = i.cast("string")
     text = (
@@ -493,7 +494,7 @@ def pending_scan(spark, sf_dir):
         F.col("evt_id").alias("event_id"), F.lit(rulebook.LATEST_VERSION).alias("rule_version")
     )
     return rescan.pending(edits, flagged, clean, rulebook.LATEST_VERSION).select(
-        tables.SCAN_COLUMNS[0], "type", "domain", "ns"
+        tables.SCAN_COLUMNS
     )
 
 
@@ -519,6 +520,32 @@ def stored_edits_by_day(spark, sf_dir):
     return tables.on_day(stored, F.lit("2024-01-15").cast("date")).select(EDIT_FIELDS)
 
 
+@query
+def compacted_edits(spark, sf_dir):
+    """Edits written in three batches, of which one day is rewritten as one and read back."""
+    root, day = scratch_dir(spark, "compacted"), "2024-01-15"
+    edits = views.edits(spark, sf_dir)
+    for part in range(3):
+        tables.write_table(
+            edits.where(F.pmod(F.col("evt_id").cast("long"), F.lit(3)) == part), root, "edits", part
+        )
+    tables.compact_day(spark, root, "edits", day)
+    stored = tables.on_day(tables.read_table(spark, root, "edits"), F.lit(day).cast("date"))
+    return stored.select(EDIT_FIELDS)
+
+
+@query
+def migrated_table(spark, sf_dir):
+    """Edits stored before the log columns were declared, beside edits stored after."""
+    root = scratch_dir(spark, "migrated")
+    edits = views.edits(spark, sf_dir)
+    older = edits.where("type <> 'log'").drop("log_type", "log_action", "log_id", "log_comment")
+    tables.write_table(older, root, "edits", "older")
+    tables.ensure_tables(spark, root)
+    tables.write_table(edits.where("type = 'log'"), root, "edits", "newer")
+    return tables.read_table(spark, root, "edits").select(EDIT_FIELDS)
+
+
 # --- Streams -------------------------------------------------------------------------------------
 
 
@@ -616,7 +643,7 @@ def streamed_first_events(spark, sf_dir):
 @query
 def backlog_severity(spark, sf_dir):
     """Events wait as many minutes as their value says; the thresholds suit the test data."""
-    events = spread(views.events_and_documents(spark, sf_dir)[0])
+    events = views.events_and_documents(spark, sf_dir)[0]
     arrivals = events.select(
         F.col("event_type").alias("source"), F.col("ts").cast("timestamp").alias("at"), "value"
     )

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +26,7 @@ SETTINGS = {
 
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
 PARQUET_EXPANSION = 4
+UNKNOWN_BYTES = 2**62
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -31,42 +35,66 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(*inputs: DataFrame) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to fit the inputs; never lower it.
+def shuffle_partitions(*inputs: DataFrame) -> int:
+    """How many shuffle partitions fit the inputs, at least as many as are set.
 
-    The size is Catalyst's own estimate of the scans (file listing only, no job).
-    AQE merges what turns out too small, but cannot add partitions it was not given.
+    The size is Catalyst's own estimate of the scans (file listing only, no job); sources of unknown
+    size do not count. AQE merges what turns out too small, but cannot add partitions it was not given.
     """
-    spark = inputs[0].sparkSession
-    size = sum(
-        int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        for df in inputs
-    )
-    wanted = min(size * PARQUET_EXPANSION // SHUFFLE_TARGET_BYTES, 100_000)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, current)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A table scan with at least one partition per core.
-
-    A small or unsplittable file would otherwise keep all work in one task. Scans that already
-    have enough splits, as any large table has, are returned as they are.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    size = 0
+    for df in inputs:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+        size += sum(s for s in sizes if s < UNKNOWN_BYTES)
+    current = int(inputs[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(size * PARQUET_EXPANSION // SHUFFLE_TARGET_BYTES, current)
+
+
+@contextmanager
+def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
+    """Run a job with shuffle partitions that fit its inputs; the session's setting comes back."""
+    conf, key = inputs[0].sparkSession.conf, "spark.sql.shuffle.partitions"
+    before, wanted = conf.get(key), shuffle_partitions(*inputs)
+    conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        conf.set(key, before)
+
+
+@cache
+def _local_root() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='editstream-')}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_made: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    """Results are read from scratch folders for as long as the process lives, and no longer."""
+    for path, spark in _made.items():
+        with suppress(Exception):  # the JVM may be gone by now
+            remove_folder(spark, path)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a machine-local folder.
+    It goes when the process ends. Only a local session may lack that setting; it uses a folder of
+    this machine. On a cluster other executors could not read such a folder, so there it is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="editstream-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not shared and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{(shared or _local_root()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made[path] = spark
+    return path
 
 
 @contextmanager
@@ -83,5 +111,4 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove_folder(spark, path)

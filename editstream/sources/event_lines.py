@@ -37,13 +37,12 @@ def stream_messages(
     return reader.load().select("value", "timestamp")
 
 
-def payload_lines(lines: DataFrame, max_events: int | None = None) -> DataFrame:
-    """The non-empty payloads of ``data: `` lines; ``max_events`` caps a bounded read."""
+def payload_lines(lines: DataFrame) -> DataFrame:
+    """The non-empty payloads of ``data: `` lines."""
     value = F.col("value")
-    payloads = lines.where(
+    return lines.where(
         value.startswith(DATA_PREFIX) & (F.length(value) > len(DATA_PREFIX))
     ).withColumn("value", F.substr(value, F.lit(len(DATA_PREFIX) + 1)))
-    return payloads if max_events is None else payloads.limit(max_events)
 
 
 def as_message(df: DataFrame) -> DataFrame:

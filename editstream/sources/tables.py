@@ -1,11 +1,14 @@
-"""Stored tables: one folder per table, one sub-folder per write, then day partitions.
+"""Stored tables: one folder per table, day partitions, and in these one folder per write.
 
-``<root>/<table>/batch_id=<id>/day=<date>/*.parquet``. A write owns its ``batch_id`` folder and
-replaces it whole, so repeating a micro-batch or a failed run leaves no duplicate rows.
+``<root>/<table>/day=<date>/batch_id=<id>/*.parquet``. A read of a day lists the folders of that day
+only. A write owns the folders of its ``batch_id`` and replaces them, so repeating a micro-batch or a
+failed run leaves no duplicate rows. :func:`compact_day` merges the batches of a day that is over.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +27,8 @@ DAY_SOURCE = {
     "flagged": "detection_timestamp",
 }
 SORT_WITHIN = {"flagged": ["rule_version", "domain"]}
-PARTITION_FIELDS = [T.StructField("batch_id", T.StringType()), T.StructField("day", T.DateType())]
+PARTITION_FIELDS = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.StringType())]
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 # --- Fixed value: the columns a rescan reads ---
 SCAN_COLUMNS = [
@@ -44,29 +48,82 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def write_table(df: DataFrame, root: str, table: str, batch_id: str | int) -> None:
-    """Write one batch of a table.
+def _folders(spark: SparkSession, pattern: str) -> tuple:
+    """The file system of a path, and the folders that match it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, [status.getPath() for status in files.globStatus(path) or []]
+
 
-    ``rebalance`` lets AQE choose the file count per day from the data: a day with most of the
-    rows is split over many tasks, small days share one.
+def write_table(
+    df: DataFrame, root: str, table: str, batch_id: str | int, gather_days: bool = True
+) -> None:
+    """Write one batch of a table, in place of what the batch wrote before.
+
+    With ``gather_days`` the rows of a day meet before they are written, so that there are few files:
+    ``rebalance`` lets AQE choose their count from the data; a day with most of the rows is split over
+    many tasks, small days share one. A bulk load in order of time, whose tasks hold few days anyway,
+    can do without that shuffle.
     """
-    path = f"{table_path(root, table)}/batch_id={batch_id}"
+    path = table_path(root, table)
     if table not in DAY_SOURCE:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         return
-    df = df.withColumn("day", F.to_date(DAY_SOURCE[table]))
-    df = df.hint("rebalance", "day")
+    files, before = _folders(df.sparkSession, f"{path}/day=*/batch_id={batch_id}")
+    for folder in before:
+        files.delete(folder, True)
+    df = df.withColumns({"day": F.to_date(DAY_SOURCE[table]), "batch_id": F.lit(str(batch_id))})
+    if gather_days:
+        df = df.hint("rebalance", "day")
     df = df.sortWithinPartitions("day", *SORT_WITHIN.get(table, []))
-    df.write.mode("overwrite").partitionBy("day").parquet(path)
+    df.write.mode("append").partitionBy("day", "batch_id").parquet(path)
+
+
+def compact_day(spark: SparkSession, root: str, table: str, day: str) -> None:
+    """Rewrite a day that gets no more batches as one batch of few files.
+
+    The new files are written to a folder that readers pass over, then take the place of the old
+    ones. A run that broke off in between is finished by the next one from that folder.
+    """
+    path = table_path(root, table)
+    ready = f"{path}/_compacted/day={day}"
+    files, done = _folders(spark, f"{ready}/_SUCCESS")
+    if not done:
+        stored = read_table(spark, root, table).where(F.col("day").cast("string") == day)
+        merged = stored.drop("day", "batch_id").hint("rebalance")
+        merged = merged.sortWithinPartitions(*(SORT_WITHIN.get(table) or [DAY_SOURCE[table]]))
+        merged.write.mode("overwrite").parquet(ready)
+    for folder in _folders(spark, f"{path}/day={day}/batch_id=*")[1]:
+        files.delete(folder, True)
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/day={day}")
+    files.mkdirs(target)
+    whole = spark._jvm.org.apache.hadoop.fs.Path(target, f"batch_id=compacted-{uuid.uuid4().hex}")
+    files.rename(spark._jvm.org.apache.hadoop.fs.Path(ready), whole)
 
 
 def ensure_tables(spark: SparkSession, root: str) -> None:
-    """Create the tables that do not exist yet, empty; existing ones are left alone."""
+    """Create the tables that do not exist yet, empty; of existing ones, check the columns."""
     for table, schema in SCHEMAS.items():
-        path = f"{table_path(root, table)}/batch_id=created"
-        if table in DAY_SOURCE:
-            path += "/day=__HIVE_DEFAULT_PARTITION__"
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        path = table_path(root, table)
+        if _folders(spark, path)[1]:
+            check_columns(spark, root, table)
+            continue
+        day = f"/day={NO_DAY}" if table in DAY_SOURCE else ""
+        spark.createDataFrame([], schema).write.parquet(f"{path}{day}/batch_id=created")
+
+
+def check_columns(spark: SparkSession, root: str, table: str) -> list[str]:
+    """The declared columns that no stored file has; they read as NULL and come with new files.
+
+    A column that is stored under another type cannot be read as declared: a ValueError names it.
+    """
+    merged = spark.read.option("mergeSchema", "true").parquet(table_path(root, table)).schema
+    stored = {f.name: f.dataType.simpleString() for f in merged}
+    declared = {f.name: f.dataType.simpleString() for f in SCHEMAS[table]}
+    changed = [f"{n}: {stored[n]} is stored, {t} declared" for n, t in declared.items() if stored.get(n, t) != t]
+    if changed:
+        raise ValueError(f"table {table} cannot be migrated by adding columns: {'; '.join(changed)}")
+    return [n for n in declared if n not in stored]
 
 
 def read_table(
@@ -76,7 +133,7 @@ def read_table(
 
     ``day`` prunes folders; ``extra`` names columns that files may hold beyond the schema.
     """
-    partitions = PARTITION_FIELDS if table in DAY_SOURCE else PARTITION_FIELDS[:1]
+    partitions = PARTITION_FIELDS if table in DAY_SOURCE else PARTITION_FIELDS[1:]
     schema = T.StructType(SCHEMAS[table].fields + list(extra) + partitions)
     return spark.read.schema(schema).parquet(table_path(root, table))
 
@@ -91,10 +148,6 @@ def register_views(spark: SparkSession, root: str, name: str = "edits") -> list[
     return views
 
 
-def scan_columns(edits: DataFrame) -> DataFrame:
-    return edits.select(SCAN_COLUMNS)
-
-
 def json_columns(flagged: DataFrame) -> DataFrame:
     """The nested columns of flagged records as JSON text, for sinks without nested types."""
     nested = ["ai_flags", "content_sample", "detection_metadata"]

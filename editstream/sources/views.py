@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editstream.schemas import EDIT_FIELDS
-from editstream.session import configure, size_shuffles, spread
+from editstream.session import configure
 
 SNIPPETS = [
     "",
@@ -46,14 +46,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events_and_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     configure(spark)
-    events, documents = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
-    size_shuffles(events, documents)
-    return events, documents
+    return table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
 
 
 def join_documents(events: DataFrame, documents: DataFrame, count: Column) -> DataFrame:
     """Events with their document. Both sides are cut to what the views use before the join."""
-    docs = documents.select("doc_id", "lang", "n_chars", F.replace("text", F.lit("*")).alias("prose"))
+    docs = documents.select("doc_id", "lang", "n_chars", F.col("text").alias("prose"))
     rows = events.select(
         F.col("event_id").alias("i"),
         F.col("ts").cast("timestamp").alias("ts"),
@@ -115,7 +113,7 @@ def shape_edits(joined: DataFrame) -> DataFrame:
 
 
 def numbered_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events, documents = map(spread, events_and_documents(spark, sf_dir))
+    events, documents = events_and_documents(spark, sf_dir)
     count = table(spark, sf_dir, "documents").agg(F.count("*")).scalar()
     return shape_edits(join_documents(events, documents, count))
 
@@ -171,7 +169,10 @@ def shape_raw_lines(rows: DataFrame) -> DataFrame:
         _member("title", faulty(_json(F.col("title")), f9="123", f10="null")),
         _member("user", faulty(_json(F.col("user")), f20=None)),
         _member("bot", faulty(_json(F.col("bot")), f14="1")),
-        _member("timestamp", faulty(seconds, f15=_json(F.col("dt_user")))),
+        _member(
+            "timestamp",
+            faulty(seconds, f15=_json(F.col("dt_user")), f23='"not a time"', f24="99999999999999"),
+        ),
         _member("namespace", faulty(_json(F.col("ns")), f8='"zero"', f13="6", f16="true", f18="1.5")),
         _member("wiki", _json(F.col("wiki"))),
         _member("server_name", _json(F.col("srv_name"))),
@@ -209,10 +210,7 @@ def _stream_numbered(spark: SparkSession, sf_dir: str, files_per_trigger: int) -
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        stream = stream.repartition(cores)
-    return shape_edits(join_documents(stream, spread(documents), F.lit(documents.count())))
+    return shape_edits(join_documents(stream, documents, F.lit(documents.count())))
 
 
 def stream_raw_lines(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:

@@ -21,16 +21,30 @@ def with_event_time(edits: DataFrame, late: str = "10 minutes") -> DataFrame:
 
 
 def event_rates(edits: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Events and (approximately) distinct users per window, for batch or stream."""
-    return (
-        with_event_time(edits, late)
-        .groupBy(F.window("event_time", width))
-        .agg(
-            F.count("*").alias("event_count"),
-            F.approx_count_distinct("user").alias("about_unique_users"),
-        )
+    """Events and (approximately) distinct users per window, for batch or stream.
+
+    A bounded table also has a row of NULL ``window_start`` for events whose user time is not
+    readable; a stream has no window for them, see :func:`unreadable_times`.
+    """
+    counts = [
+        F.count("*").alias("event_count"),
+        F.approx_count_distinct("user").alias("about_unique_users"),
+    ]
+    timed = with_event_time(edits, late)
+    windows = (
+        timed.groupBy(F.window("event_time", width))
+        .agg(*counts)
         .select(F.col("window.start").alias("window_start"), "event_count", "about_unique_users")
     )
+    if edits.isStreaming:
+        return windows
+    start = F.lit(None).cast("timestamp").alias("window_start")
+    return windows.union(unreadable_times(edits).groupBy(start).agg(*counts))
+
+
+def unreadable_times(edits: DataFrame) -> DataFrame:
+    """The events that no window of :func:`event_rates` counts."""
+    return edits.where(parse_time(F.col("dt_user")).isNull())
 
 
 def first_in_stream(edits: DataFrame, key: str = "evt_id", late: str = "10 minutes") -> DataFrame:

@@ -34,19 +34,19 @@ def flags(spark):
 @pytest.mark.parametrize(
     "text, flag",
     [
-        ("Check this link utm_source=chatgpt.com for details", "chatgpt_artifacts"),
-        ("see TURN0SEARCH1", "chatgpt_artifacts"),
-        ('Source: {"attribution":{"attributableindex":1}', "chatgpt_attribution"),
-        ("As an AI language model, I cannot assist", "prompt_refusal"),
-        ("Updated with **bold text** and *italic*", "markdown_syntax"),
-        ("This is a test — and another — and more — dashes", "excessive_em_dashes"),
-        ("This breathtaking location offers stunning views", "promotional_language"),
-        ("This event plays a vital role in history", "importance_emphasis"),
-        ("Added [entertainer's name] to the cast list", "placeholder_templates"),
-        ("See [URL of source]", "placeholder_templates"),
-        ("Up to my last training update, this was accurate", "knowledge_cutoff_disclaimers"),
-        ("I hope this helps with your research", "collaborative_communication"),
-        ("Great 🎉", "emoji_in_headings"),
+        ("moved from ?utm_source=chatgpt.com&p=2", "chatgpt_artifacts"),
+        ("left over: TURN0SEARCH7 here", "chatgpt_artifacts"),
+        ('cited {"attribution":{"attributableindex":"9"}', "chatgpt_attribution"),
+        ("sorry, as an AI language model there is no opinion", "prompt_refusal"),
+        ("now **louder** than before", "markdown_syntax"),
+        ("north — south — east — west", "excessive_em_dashes"),
+        ("a breathtaking harbour", "promotional_language"),
+        ("the lamp plays a vital role at night", "importance_emphasis"),
+        ("thanks to [keeper's name] for the tour", "placeholder_templates"),
+        ("taken from [URL of source] in May", "placeholder_templates"),
+        ("height up to my last training update", "knowledge_cutoff_disclaimers"),
+        ("list sorted, I hope this helps", "collaborative_communication"),
+        ("lit again 🎉", "emoji_in_headings"),
     ],
 )
 def test_each_rule(flags, text, flag):
@@ -56,11 +56,11 @@ def test_each_rule(flags, text, flag):
 @pytest.mark.parametrize(
     "text",
     [
-        "Updated article with new information",
+        "heights in metres",
         "",
         None,
-        "Fixed typo",
-        "rv vandalism",
+        "comma",
+        "undo",
         "== Heading ==",
         "## = no",
         "**bold** with '''wiki'''",
@@ -75,7 +75,7 @@ def test_plain_texts_raise_nothing(flags, text):
 
 
 def test_several_flags_in_rule_order(flags):
-    text = "As an AI language model with **bold text**, I hope this helps"
+    text = "I hope this helps, says **as an AI language model**"
     assert flags(text) == [["prompt_refusal", "collaborative_communication", "markdown_syntax"]]
 
 

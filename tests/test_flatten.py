@@ -40,11 +40,11 @@ def test_columns_by_type(lines, event, event_type, fields):
 
 def test_values(lines, event):
     record = flat(lines, event())[0]
-    assert record["evt_id"] == "test-event-123"
-    assert record["dt_server"] == 1672574400
-    assert (record["len_old"], record["len_new"]) == (100, 150)
-    assert (record["rev_old"], record["rev_new"]) == (12345, 12346)
-    assert record["parsed_comment"] == "<em>Test edit</em>"
+    assert record["evt_id"] == "e7"
+    assert record["dt_server"] == 1709618828
+    assert (record["len_old"], record["len_new"]) == (812, 790)
+    assert (record["rev_old"], record["rev_new"]) == (41, 57)
+    assert record["parsed_comment"] == "<i>shorter lead</i>"
 
 
 def test_defaults_for_absent_keys(lines):

@@ -35,7 +35,7 @@ CASTS = [
     ({"bot": "no"}, "bot", False),
     ({"bot": []}, "bot", False),
     ({"bot": [0]}, "bot", True),
-    ({"title": "  Test Article \t"}, "title", "Test Article"),
+    ({"title": "  Two words \t"}, "title", "Two words"),
     ({"title": 12}, "title", "12"),
     ({"title": True}, "title", "True"),
     ({"dt_server": 5}, "dt_server", "5"),

@@ -1,6 +1,8 @@
 import json
+import shutil
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,7 +11,9 @@ from editstream.operators import audit
 from editstream.plans import rescan, routing
 from editstream.registry.plain import plain
 from editstream.schemas import EDIT_FIELDS, EDIT_SCHEMA
+from editstream.session import scratch_dir
 from editstream.sources import event_lines, tables
+from editstream.sources.rule_files import from_categories
 from editstream.streaming import ingest as stream_ingest
 from editstream.streaming import rates
 
@@ -29,9 +33,9 @@ def write_events(folder, name, events):
 
 def sample_events(event, start=0, count=8):
     changes = [{}, {"comment": "nestled"}, {"title": 5}, {"length": None}, {"type": "log"}]
-    meta = {"dt": "2023-01-01T12:00:00Z", "domain": "d"}
+    meta = {"dt": "2024-03-05T06:07:08Z", "domain": "d"}
     return [
-        event(meta={"id": str(i), **meta}, timestamp=1672574400 + 40000 * i, **changes[i % 5])
+        event(meta={"id": str(i), **meta}, timestamp=1709618828 + 40000 * i, **changes[i % 5])
         for i in range(start, start + count)
     ]
 
@@ -221,12 +225,49 @@ def test_severity(spark):
     assert got == ["HIGH", "MEDIUM", "MEDIUM", "NONE", "LOW", "NONE", "NONE"]
 
 
-def test_json_lines_keep_nulls(spark, lines, event, tmp_path):
-    rows = routing.flat_rows(lines(event(), event(type="log"), event(length=None)))
-    assert rows.columns == EDIT_FIELDS
-    tables.write_json_lines(rows, str(tmp_path / "out"))
+def test_flat_lines_keep_values_as_they_are(spark, lines, event, tmp_path):
+    odd = event(title=123, bot=1, namespace=1.5, timestamp="not a time", minor="false")
+    rows = routing.flat_lines(lines(odd, event(type="log"), event(length=None)))
+    rows.write.text(str(tmp_path / "out"))
     stored = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "out")).collect()]
-    assert len(stored) == 2 and all(list(r) == EDIT_FIELDS for r in stored)
+    edit, log = sorted(stored, key=lambda r: r["type"])
+    assert (edit["title"], edit["bot"], edit["ns"], edit["dt_server"]) == (123, 1, 1.5, "not a time")
+    assert edit["minor"] is True and "log_id" not in edit and "minor" not in log
+
+
+def test_own_rules_and_no_rules_are_routed(spark, lines, event, tmp_path):
+    own = routing.RuleSet("own-1", from_categories({"spam": ["shorter lead"]}))
+    for name, rules in (("own", own), ("off", ("none", []))):
+        routing.route_batch(lines(event(), event(title=5)), str(tmp_path / name), "b", rules)
+    read = {
+        (name, t): tables.read_table(spark, str(tmp_path / name), t).collect()
+        for name in ("own", "off")
+        for t in ("edits", "dead_letter", "flagged")
+    }
+    assert {k: len(v) for k, v in read.items() if k[1] != "flagged"} == {
+        (n, t): 1 for n in ("own", "off") for t in ("edits", "dead_letter")
+    }
+    assert [r["rule_version"] for r in read["own", "flagged"]] == ["own-1"] * 2
+    assert read["off", "flagged"] == []
+
+
+def test_scratch_must_be_shared_on_a_cluster(spark):
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError):
+        scratch_dir(Cluster, "x")
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_rates_count_unreadable_times(spark, edit_rows):
+    rows = edit_rows({"evt_id": "1", "dt_user": "2024-01-01T00:00:00Z"}, {"evt_id": "2", "dt_user": "x"})
+    counts = {r["window_start"]: r["event_count"] for r in rates.event_rates(rows).collect()}
+    assert counts == {datetime(2024, 1, 1): 1, None: 1}
 
 
 def test_first_per_id_on_stored_duplicates(spark, edit_rows):
@@ -269,3 +310,49 @@ def test_tables_in_sql(spark, lines, event, tmp_path):
     assert [tuple(r) for r in categories.collect()] == [
         ("OTHER", "_root"), ("TYPE_MISMATCH", "title"), ("TYPE_MISMATCH", "title"),
     ]
+
+
+def stored_days(spark, edit_rows, root):
+    for batch, days in (("a", (1, 2)), ("b", (1, 1, 3))):
+        rows = [{"evt_id": f"{batch}{i}", "dt_server": datetime(2024, 1, d)} for i, d in enumerate(days)]
+        tables.write_table(edit_rows(*rows, {"evt_id": f"{batch}none"}), root, "edits", batch)
+
+
+def test_days_are_pruned_and_batches_replaced(spark, edit_rows, tmp_path):
+    root = str(tmp_path)
+    stored_days(spark, edit_rows, root)
+    tables.write_table(edit_rows({"evt_id": "x", "dt_server": datetime(2024, 1, 3)}), root, "edits", "b")
+    read = tables.read_table(spark, root, "edits")
+    assert sorted(r["evt_id"] for r in read.collect()) == ["a0", "a1", "anone", "x"]
+    one = tables.on_day(read, F.lit("2024-01-02").cast("date"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert [r["evt_id"] for r in one.collect()] == ["a1"]
+
+
+@pytest.mark.parametrize("broken_off", [False, True])
+def test_a_compacted_day_keeps_its_rows(spark, edit_rows, tmp_path, broken_off):
+    root = str(tmp_path)
+    stored_days(spark, edit_rows, root)
+    before = content(tables.read_table(spark, root, "edits"))
+    if broken_off:  # the merged files are there, the old ones partly gone
+        day = spark.read.schema(EDIT_SCHEMA).parquet(f"{root}/edits/day=2024-01-01/*")
+        day.write.parquet(f"{root}/edits/_compacted/day=2024-01-01")
+        shutil.rmtree(f"{root}/edits/day=2024-01-01/batch_id=a")
+    tables.compact_day(spark, root, "edits", "2024-01-01")
+    read = tables.read_table(spark, root, "edits")
+    assert content(read) == before
+    assert tables.on_day(read, F.lit("2024-01-01").cast("date")).select("batch_id").distinct().count() == 1
+
+
+def test_ensure_adds_columns_and_refuses_other_types(spark, edit_rows, tmp_path):
+    root = str(tmp_path)
+    old = edit_rows({"evt_id": "1", "dt_server": datetime(2024, 1, 1)})
+    tables.write_table(old.drop("log_id", "comment"), root, "edits", "old")
+    assert sorted(tables.check_columns(spark, root, "edits")) == ["comment", "log_id"]
+    tables.ensure_tables(spark, root)
+    assert tables.read_table(spark, root, "edits").first()["log_id"] is None
+    other = str(tmp_path / "other")
+    tables.write_table(old.withColumn("ns", F.lit("text")), other, "edits", "odd")
+    with pytest.raises(ValueError, match="ns: string is stored, bigint declared"):
+        tables.ensure_tables(spark, other)
