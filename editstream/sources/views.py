@@ -213,11 +213,6 @@ def _stream_numbered(spark: SparkSession, sf_dir: str, files_per_trigger: int) -
     return shape_edits(join_documents(stream, documents, F.lit(documents.count())))
 
 
-def stream_raw_lines(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """The raw lines as a stream over the events; documents are a static side."""
-    return shape_raw_lines(_stream_numbered(spark, sf_dir, files_per_trigger)).select("value")
-
-
 def stream_edits(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
     return _stream_numbered(spark, sf_dir, files_per_trigger).select(EDIT_FIELDS)
 

@@ -151,3 +151,17 @@ def test_late_events_sort_inside_buckets(edit_rows):
     plan = late._jdf.queryExecution().executedPlan().toString()
     # The only window over a whole domain reads one row per bucket.
     assert plan.count("Window [max(dt_server") == 1 and plan.count("Window [max(peak") == 1
+
+
+def test_rows_without_id_or_group_are_audited(edit_rows):
+    time = [datetime(2024, 1, 1, h) for h in (3, 1, 2)]
+    rows = edit_rows(*[{"evt_id": None, "title": str(i), "dt_server": t} for i, t in enumerate(time)])
+    assert audit.first_per_id(rows).count() == 3
+    late = audit.late_events(rows, F.col("title").cast("long"), bucket_rows=1)
+    assert sorted(r["title"] for r in late.collect()) == ["1", "2"]
+
+
+def test_copies_that_agree_in_the_order_keep_the_same_row(edit_rows):
+    rows = [{"evt_id": "1", "title": "t", "comment": c} for c in "abc"]
+    kept = {audit.first_per_id(edit_rows(*x)).first()["comment"] for x in (rows, rows[::-1])}
+    assert len(kept) == 1
