@@ -154,8 +154,9 @@ def json_columns(flagged: DataFrame) -> DataFrame:
     return flagged.withColumns({name: F.to_json(name) for name in nested})
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_json_lines(lines: DataFrame, path: str) -> None:
+    """JSON texts in ``value``, one per line; a value keeps its JSON type, whatever was declared."""
+    lines.write.mode("overwrite").text(path)
 
 
 def on_day(df: DataFrame, day: Column) -> DataFrame:
