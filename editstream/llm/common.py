@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from editstream.session import scratch_dir
@@ -24,6 +24,14 @@ def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def thinned(df: DataFrame, rows: int, *by: str) -> list[Row]:
+    """About ``rows`` rows on average, or all of fewer, picked by hash of the columns ``by``; twice
+    as many at most, so that the driver can hold them. ``df`` is read twice: stage it if it is dear."""
+    step = -(-df.count() // rows)
+    picked = df.where(F.pmod(F.xxhash64(*by), F.lit(max(step, 1))) == 0)
+    return picked.limit(2 * rows).collect()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editstream.llm.bpe import chunks
-from editstream.llm.common import python_path, same, stage, table
+from editstream.llm.common import python_path, same, stage, table, thinned
 
 LENGTH = 400
 GRAM = 8
@@ -332,7 +332,8 @@ def repeated_ranges(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame
     wholes = stage(wholes, "contexts")
     mixed = wholes.groupBy("head").agg(F.count(F.lit(1)).alias("kinds"))
     hot = mixed.where(F.col("kinds") > HOT_ROWS).select(F.col("head").alias("hot"))
-    asked = wholes.join(hot, F.col("head") == F.col("hot"), "left").select(
+    # One hot head per HOT_ROWS suffixes at most: 8 bytes for some 20 MB of them.
+    asked = wholes.join(F.broadcast(hot), F.col("head") == F.col("hot"), "left").select(
         "a.*", "head", "n", F.col("hot").isNotNull().alias("hot")
     )
     asked = stage(asked, "suffixes")
@@ -347,14 +348,9 @@ def repeated_ranges(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame
     )
 
     rows = asked.count()
-    sample = (
-        once.select(F.inline("sample"))
-        .join(wholes.select("head").distinct(), "head", "left_semi")
-        .orderBy(F.xxhash64("lead", "head"), "lead", "head")
-        .limit(SPLITTERS)
-        .collect()
-    )
-    sample = sorted({(r.lead, r.head) for r in sample})
+    leads = once.select(F.inline("sample")).distinct()
+    leads = stage(leads.join(wholes.select("head").distinct(), "head", "left_semi"), "leads")
+    sample = sorted((r.lead, r.head) for r in thinned(leads, SPLITTERS, "lead", "head"))
     buckets = min(rows // BUCKET_ROWS + 1, len(sample) + 1)
     splitters = [sample[i * len(sample) // buckets] for i in range(1, buckets)]
 
