@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from editstream.llm.common import python_path, stage, table
+from editstream.llm.common import python_path, stage, table, thinned
 
 CENTROIDS = 64
 SAMPLE = 10_000
@@ -111,7 +111,7 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` rows of largest cosine found for every query, itself left out.
 
-    The codebooks are fitted on ``sample`` rows at most, picked by hash of the id; every row is
+    The codebooks are fitted on about ``sample`` rows (twice as many at most), picked by hash of the id; every row is
     indexed. A query visits cells until they hold ``share`` of all rows, and all rows of these cells
     are reranked by their exact cosine in double precision; ties go to the smaller id. The rows of a
     centroid of the first half are a list; a list of many rows is dealt into blocks of about 2,000,
@@ -123,7 +123,8 @@ def nearest(
     spark = vectors.sparkSession
     python_path(spark)
     rows = usable(vectors, id_col, vector_col).select("id", "vector").distinct()
-    picked = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    # In the order of the ids: the same rows give the same codebooks.
+    picked = sorted(thinned(rows, sample, "id"), key=lambda r: (r.id, r.vector))
     schema = "query_id long, rank int, id long, score double"
     if not picked:
         return spark.createDataFrame([], schema)
