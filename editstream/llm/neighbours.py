@@ -116,7 +116,7 @@ def nearest(
     are reranked by their exact cosine in double precision; ties go to the smaller id. The rows of a
     centroid of the first half are a list; a list of many rows is dealt into blocks of about 2,000,
     each reranked on its own. On vectors without clusters, the hardest case, 0.4 of the rows give a
-    recall of 0.94 to 0.95; clustered ones can do with less. ``is_query`` is a condition on the column ``id``. Vectors that are null, zero, not finite or
+    recall of 0.93 to 0.95; clustered ones can do with less. ``is_query`` is a condition on the column ``id``. Vectors that are null, zero, not finite or
     of another length than most take no part; rows that repeat an id and vector count once. Returns
     ``query_id, rank, id, score``.
     """
