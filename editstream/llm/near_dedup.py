@@ -199,6 +199,129 @@ def linked(texts: list[str], idf: np.ndarray, similarity: float) -> tuple[np.nda
     return cluster, links
 
 
+def linked_across(
+    left: list[tuple], right: list[tuple], idf: np.ndarray, similarity: float
+) -> list[tuple]:
+    """Links of at least ``similarity`` between two lists of ``(node, class, text)``: of those between
+    texts of different classes, as many as make one class of all classes that are linked."""
+    sets = [weighted(t, idf) for _, _, t in right]
+    sizes = np.array([len(h) for h, _ in sets])
+    flat, places = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
+    weights = np.concatenate([w for _, w in sets])
+    starts = np.cumsum(sizes) - sizes
+    filled = sizes > 0
+    totals = np.zeros(len(sets))
+    totals[filled] = np.add.reduceat(weights, starts[filled])
+    names = sorted({c for _, c, _ in left} | {c for _, c, _ in right})
+    number = {c: i for i, c in enumerate(names)}
+    merged = np.arange(len(names))
+    classes = np.array([number[c] for _, c, _ in right])
+    dense, links = np.zeros(len(flat)), []
+    for node, own_class, text in left:
+        own = merged[number[own_class]]
+        if (merged[classes] == own).all():
+            continue
+        hashes, own_weights = weighted(text, idf)
+        at = np.minimum(np.searchsorted(flat, hashes), len(flat) - 1)
+        known = flat[at] == hashes
+        dense[at[known]] = own_weights[known]
+        common = np.zeros(len(sets))
+        common[filled] = np.add.reduceat(np.minimum(weights, dense[places]), starts[filled])
+        dense[at[known]] = 0
+        union = totals + own_weights.sum() - common
+        for j in np.flatnonzero((common >= similarity * union) & (union > 0)):
+            a, b = merged[number[own_class]], merged[classes[j]]
+            if a != b:
+                merged[merged == max(a, b)] = min(a, b)
+                links.append((node, right[j][0]))
+    return links
+
+
+def crossed(rows: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
+    """Links (``node, other``) between texts of different classes in each bucket, none left out.
+
+    ``rows``: ``bucket, node, class, text`` of large buckets. Of two texts of different classes one at
+    least is outside the bucket's largest class. The texts outside it are dealt into blocks; each block
+    is compared with all texts of the bucket, block by block, in a shuffle.
+    """
+    per_class = rows.groupBy("bucket", "class").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")
+    )
+    main = per_class.groupBy("bucket").agg(F.max(F.struct("n", "class"))["class"].alias("main"))
+    # One row per large bucket.
+    sizes = (
+        per_class.join(main, "bucket")
+        .groupBy("bucket", "main")
+        .agg(*[
+            F.greatest(
+                F.ceil(2 * F.sum(F.when(of, F.col("n"))) / GROUP_DOCS),
+                F.ceil(2 * F.sum(F.when(of, F.col("bytes"))) / GROUP_BYTES),
+            ).alias(name)
+            for name, of in [
+                ("mains", F.col("class") == F.col("main")),
+                ("others", F.col("class") != F.col("main")),
+            ]
+        ])
+        .where("others > 0")
+    )
+    dealt = rows.join(F.broadcast(sizes), "bucket").withColumn(
+        "block",
+        F.pmod(
+            F.xxhash64("node", "bucket"),
+            F.when(F.col("class") == F.col("main"), F.col("mains")).otherwise(F.col("others")),
+        ),
+    )
+    columns = ["bucket", "node", "class", "text"]
+    inside = dealt.where(F.col("class") == F.col("main"))
+    outside = dealt.where(F.col("class") != F.col("main"))
+    # Pairs of blocks: a block of the others with each of the largest class, and with itself and each
+    # later one of the others.
+    pair = lambda i, j, side: [
+        *columns, F.expr(i).alias("i"), F.expr(j).alias("j"), F.lit(side).alias("side")
+    ]
+    pairs = (
+        outside.select(*columns, "block", F.explode(F.expr("sequence(0, mains - 1)")).alias("to"))
+        .select(*pair("block", "to", 0))
+        .union(
+            inside.select(*columns, "block", F.explode(F.expr("sequence(0, others - 1)")).alias("to"))
+            .select(*pair("to", "block", 1))
+        )
+        .union(
+            outside.select(*columns, "block", F.explode(F.expr("sequence(block, others - 1)")).alias("to"))
+            .select(*pair("block", "-1 - to", 0))
+        )
+        .union(
+            outside.select(*columns, "block", F.explode(F.expr("sequence(0, block)")).alias("to"))
+            .select(*pair("to", "-1 - block", 1))
+        )
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sides = None, ([], [])
+
+        def solve() -> pa.RecordBatch:
+            links = linked_across(*sides, idf.value, similarity) if all(sides) else []
+            columns = list(zip(*links)) or [()] * 2
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.binary()) for c in columns], ["node", "other"]
+            )
+
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for bucket, i, j, side, node, name, text in zip(*columns):
+                if (bucket, i, j) != key:
+                    if key is not None:
+                        yield solve()
+                    key, sides = (bucket, i, j), ([], [])
+                sides[side].append((node, name, text))
+        if key is not None:
+            yield solve()
+
+    pairs = pairs.select("bucket", "i", "j", "side", "node", "class", "text")
+    pairs = pairs.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return pairs.mapInArrow(run, "node binary, other binary")
+
+
 def verified(groups: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
     """Links within each group (``bucket, part``), and the texts that speak for its clusters.
 
@@ -248,8 +371,9 @@ def verified(groups: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
     return dealt.mapInArrow(run, "bucket long, node binary, other binary, text string")
 
 
-def parted(rows: DataFrame) -> DataFrame:
-    """Deal each bucket's rows into parts of about ``GROUP_DOCS`` texts or ``GROUP_BYTES`` bytes."""
+def parted(rows: DataFrame, salt: int = 0) -> DataFrame:
+    """Deal each bucket's rows into parts of about ``GROUP_DOCS`` texts or ``GROUP_BYTES`` bytes; which
+    ones meet depends on ``salt``."""
     sizes = rows.groupBy("bucket").agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / GROUP_DOCS), F.ceil(F.sum(F.octet_length("text")) / GROUP_BYTES)
@@ -257,7 +381,7 @@ def parted(rows: DataFrame) -> DataFrame:
     )
     return rows.join(sizes, "bucket").select(
         "bucket",
-        F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).alias("part"),
+        F.pmod(F.xxhash64(F.lit(salt), "node", "bucket"), F.col("parts")).alias("part"),
         "node",
         "text",
         (F.col("parts") > 1).alias("many"),
@@ -313,8 +437,9 @@ def near_classes(
     0.9 with 0.003 percent. Buckets with the same members are compared once.
 
     A bucket of over 2,000 texts is dealt into parts. Within a part all links are found; between
-    parts, those of up to 8 texts of each part's largest cluster and of all texts outside it, in
-    further rounds while these get fewer.
+    parts, at first those of up to 8 texts of each part's largest cluster and of all texts outside it,
+    in further rounds while these get fewer. Then all texts of such a bucket that are still in different
+    classes are compared, block by block. The outcome does not depend on the sizes of parts.
 
     Returns ``doc, node, class`` (a 16-byte hash of the text, and the smallest of the class), one row
     per input row. Null texts count as empty; texts without words are alike only if equal.
@@ -356,23 +481,42 @@ def near_classes(
     unlike = buckets.where("n > 1").groupBy("n", "sum", "sum_2").agg(F.min("bucket").alias("bucket"))
     first = sketches.groupBy("node").agg(F.min("doc").alias("first"))
     wanted = members.join(unlike.select("bucket"), "bucket").join(first, "node")
-    texts = (
-        rows.join(
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        """The rows of ``wanted`` with the text of their node."""
+        return rows.join(
             wanted.withColumnRenamed("node", "node_2"),
             (F.col("node") == F.col("node_2")) & same(F.col("doc"), F.col("first")),
-        )
-        .select("bucket", "node", "text")
-    )
-    found, left, before = [], parted(texts), None
+        ).select("bucket", *[c for c in wanted.columns if c not in ("bucket", "first")], "text")
+
+    found, left, sizes, large = [], parted(texts(wanted)), None, None
     while True:
         done = stage(verified(left, idf, similarity), "near-links")
         found.append(done.where(F.col("other").isNotNull()).select("node", "other"))
         speak = done.where(F.col("text").isNotNull()).select("bucket", "node", "text")
-        n = speak.count()
-        if n == 0 or (before is not None and n > 0.9 * before):
+        before, sizes = sizes, speak.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        if before is None:
+            large = sizes.select("bucket")
+            going = speak
+        else:
+            # A bucket whose texts hardly get fewer leaves the rounds.
+            fewer = sizes.join(before.withColumnRenamed("n", "n_2"), "bucket").where("n <= 0.9 * n_2")
+            going = speak.join(F.broadcast(fewer.select("bucket")), "bucket", "left_semi")
+        if going.isEmpty():
             break
-        left, before = parted(speak), n
-    classes = components(reduce(DataFrame.union, found))
+        left = parted(going, len(found))
+    links = reduce(DataFrame.union, found)
+    classes = components(links)
+    if not large.isEmpty():
+        # The rounds only unite most of a large bucket cheaply; what they leave apart is compared here.
+        apart = (
+            wanted.join(F.broadcast(large), "bucket", "left_semi")
+            .join(classes, "node", "left")
+            .select("bucket", "node", F.coalesce("class", "node").alias("class"), "first")
+        )
+        more = crossed(stage(texts(apart), "near-large"), idf, similarity)
+        united = classes.select("node", F.col("class").alias("other"))
+        classes = components(united.union(stage(more, "near-links")))
     return (
         sketches.select("doc", "node")
         .join(classes, "node", "left")

@@ -146,6 +146,35 @@ def test_near_classes_against_all_pairs(spark, documents, words, monkeypatch, gr
     assert {r.doc: smallest[r["class"]] for r in found} == plain_classes(rows)
 
 
+def found_classes(docs):
+    found = near_dedup.near_classes(docs).collect()
+    smallest = {}
+    for r in found:
+        smallest[r["class"]] = min(r.doc, smallest.get(r["class"], r.doc))
+    return {r.doc: smallest[r["class"]] for r in found}
+
+
+def test_near_copies_that_fill_a_part_each(spark, documents, words, monkeypatch):
+    monkeypatch.setattr(near_dedup, "GROUP_BYTES", 1_000)
+    rows = [(2 * g + i, f"{words(300, g)} {'x' * i}") for g in range(8) for i in range(2)]
+    assert found_classes(documents(*rows)) == {i: i - i % 2 for i, _ in rows}
+
+
+def test_links_across_classes_of_a_large_bucket(spark, words, monkeypatch):
+    monkeypatch.setattr(near_dedup, "GROUP_DOCS", 6)
+    rows = []
+    for c in range(5):
+        base = words(100, c)
+        rows += [(1, bytes([c, i]), bytes([c]), f"{base} {c} {i}") for i in range(9 + c)]
+    # One text of each class is a near copy of a text of the next.
+    rows += [(1, bytes([c, 99]), bytes([c]), f"{words(100, c + 1)} z") for c in range(4)]
+    idf = spark.sparkContext.broadcast(np.ones(1 << near_dedup.FEATURE_BITS))
+    texts = spark.createDataFrame(rows, "bucket long, node binary, class binary, text string")
+    links = near_dedup.crossed(texts, idf, 0.8).collect()
+    joined = {tuple(sorted((r.node[0], r.other[0]))) for r in links}
+    assert joined == {(0, 1), (1, 2), (2, 3), (3, 4)}
+
+
 def test_samples_agree_as_often_as_sets_are_similar():
     rng = np.random.default_rng(2)
     keys = near_dedup.mixed(np.arange(300, dtype=np.uint64))
