@@ -160,6 +160,22 @@ def test_near_copies_that_fill_a_part_each(spark, documents, words, monkeypatch)
     assert found_classes(documents(*rows)) == {i: i - i % 2 for i, _ in rows}
 
 
+def test_clusters_that_touch_in_one_text(spark, documents, words, monkeypatch):
+    monkeypatch.setattr(near_dedup, "GROUP_DOCS", 2)
+    monkeypatch.setattr(near_dedup, "SPEAKERS", 1)
+    rows = []
+    for g in range(6):
+        shared = words(300, g)
+        for side in range(2):
+            own = words(42, 100 + 2 * g + side).split()
+            for i in range(12):
+                # Only the last texts of the two clusters are near each other.
+                tail = own[:30] if i == 11 else [*own, f"u{i}"]
+                rows.append((len(rows), " ".join([shared, *tail])))
+    assert len(set(plain_classes(rows).values())) == 6
+    assert found_classes(documents(*rows)) == plain_classes(rows)
+
+
 def test_links_across_classes_of_a_large_bucket(spark, words, monkeypatch):
     monkeypatch.setattr(near_dedup, "GROUP_DOCS", 6)
     rows = []
