@@ -21,8 +21,9 @@ WORDS = re.compile(r"\w+")
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
-FEATURE_BITS = 18
-PARTS = 64  # of the table of document frequencies
+FEATURE_BITS = 20
+PARTS = 64  # of the sieve of features
+SHARE = 1_000  # a shingle is rare if fewer than one in so many documents hold it
 CHUNK_CHARS = 4_000_000
 GROUP_DOCS, GROUP_BYTES = 2_000, 32_000_000
 SPEAKERS = 8
@@ -65,8 +66,8 @@ def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(mixed(joined + U64(width)), return_counts=True)
 
 
-def feature(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> U64(64 - FEATURE_BITS)).astype(np.int64)
+def feature(hashes: np.ndarray, bits: int = FEATURE_BITS) -> np.ndarray:
+    return (hashes >> U64(64 - bits)).astype(np.int64)
 
 
 class Sampler:
@@ -113,53 +114,110 @@ class Sampler:
         return joined
 
 
-def document_frequencies(docs: DataFrame) -> np.ndarray:
-    """In how many documents shingles of each feature (hash prefix) occur, over all of ``docs``.
+class Frequencies:
+    """Inverse document frequencies of shingles: exact for those of ``hashes`` (sorted), all others are
+    rare."""
 
-    Each task counts into one array; the arrays are summed in two steps, in parts. The result has
-    2**18 numbers whatever the size of the corpus.
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, docs: int):
+        self.hashes, self.idf = hashes, inverse_frequencies(counts, docs)
+        self.rare = float(inverse_frequencies(np.ones(1), docs)[0])
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), self.rare)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            known = self.hashes[at] == hashes
+            out[known] = self.idf[at[known]]
+        return out
+
+
+def document_frequencies(docs: DataFrame, n_docs: int) -> Frequencies:
+    """In how many of ``docs`` each shingle occurs, exact for every shingle that is not rare.
+
+    The documents are read twice. First each task counts features (hash prefixes) into one array;
+    the arrays are summed in two steps, in parts. A feature occurs at least as often as each of its
+    shingles, so only shingles of features that occur often enough are counted one by one, in a
+    shuffle. Of the shingles that are not rare there are at most ``SHARE`` times as many as a document
+    has on average.
     """
-    width = (1 << FEATURE_BITS) // PARTS
+    least = max(2, -(-n_docs // SHARE))
+    bits = FEATURE_BITS
+    width = (1 << bits) // PARTS
+
+    def narrow(counts: np.ndarray) -> bytes:
+        top = int(counts.max(initial=0))
+        return counts.astype(next(f"<u{n}" for n in (1, 2, 4, 8) if top < 1 << 8 * n)).tobytes()
+
+    def wide(counts: bytes) -> np.ndarray:
+        return np.frombuffer(counts, f"<u{len(counts) // width}").astype(np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << FEATURE_BITS, dtype=np.int64)
+        total = np.zeros(1 << bits, dtype=np.int64)
         for batch in batches:
             for part in chunks(batch, "text", CHUNK_CHARS):
-                found = [feature(shingles(t)[0]) for t in part.column("text").to_pylist()]
-                total += np.bincount(np.concatenate(found), minlength=len(total))
-        rows = [total[i * width : (i + 1) * width].astype("<i8").tobytes() for i in range(PARTS)]
+                found = [shingles(t)[0] for t in part.column("text").to_pylist()]
+                total += np.bincount(feature(np.concatenate(found), bits), minlength=len(total))
+        rows = [narrow(total[i * width : (i + 1) * width]) for i in range(PARTS)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(PARTS), pa.int32()), pa.array(rows, pa.binary())], ["part", "counts"]
         )
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = reduce(np.add, (np.frombuffer(c, "<i8") for c in frame["counts"]))
-        return frame.iloc[:1].assign(counts=[total.tobytes()])
+        total = reduce(np.add, (wide(c) for c in frame["counts"]))
+        return frame.iloc[:1].assign(counts=[narrow(total)])
+
+    def often(frame: pd.DataFrame) -> pd.DataFrame:
+        total = reduce(np.add, (wide(c) for c in frame["counts"]))
+        return frame.iloc[:1].assign(counts=[np.packbits(total >= least).tobytes()])
 
     counted = docs.mapInArrow(count, "part int, counts binary").withColumn(
         "step", F.spark_partition_id() % 64
     )
     schema = "part int, counts binary, step int"
     summed = counted.groupBy("part", "step").applyInPandas(add, schema)
-    total = summed.groupBy("part").applyInPandas(add, schema).orderBy("part").collect()
-    if not total:
-        return np.zeros(1 << FEATURE_BITS)
-    return np.concatenate([np.frombuffer(row.counts, "<i8") for row in total])
+    sieve = summed.groupBy("part").applyInPandas(often, schema).orderBy("part").collect()
+    if not sieve:
+        return Frequencies(np.zeros(0, dtype=U64), np.zeros(0), n_docs)
+    packed_sieve = docs.sparkSession.sparkContext.broadcast(b"".join(r.counts for r in sieve))
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(np.frombuffer(packed_sieve.value, np.uint8)).astype(bool)
+        for batch in batches:
+            for part in chunks(batch, "text", CHUNK_CHARS):
+                found = np.concatenate([shingles(t)[0] for t in part.column("text").to_pylist()])
+                hashes, n = np.unique(found[wanted[feature(found, bits)]], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "n"]
+                )
+
+    frequent = (
+        docs.mapInArrow(candidates, "hash long, n long")
+        .groupBy("hash")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= least)
+        .toArrow()
+    )
+    hashes = frequent.column("hash").to_numpy().view(U64)
+    order = np.argsort(hashes)
+    return Frequencies(hashes[order], frequent.column("n").to_numpy()[order], n_docs)
 
 
 def inverse_frequencies(counts: np.ndarray, docs: int) -> np.ndarray:
-    """Between 1 (in every document) and 2 (in one). The damping keeps a large group of near copies
-    similar: what they share is frequent just because they are many."""
+    """Between 1 (in every document) and 2 (in one of ``SHARE`` or less), by the share of documents
+    only, so that it is the same at every size of the corpus. The damping keeps a large group of near
+    copies similar: what they share is frequent just because they are many."""
     seen = np.maximum(counts, 1)
-    return 1 + np.log1p(docs / seen) / np.log1p(max(docs, 1))
+    return 1 + np.clip(np.log(max(docs, 1) / seen) / np.log(SHARE), 0, 1)
 
 
-def weighted(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def weighted(text: str, idf: Frequencies | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``idf``: by shingle, or an array by feature."""
     hashes, counts = shingles(text)
-    return hashes, counts * idf[feature(hashes)]
+    known = idf.of(hashes) if isinstance(idf, Frequencies) else idf[feature(hashes)]
+    return hashes, counts * known
 
 
-def linked(texts: list[str], idf: np.ndarray, similarity: float) -> tuple[np.ndarray, list]:
+def linked(texts: list[str], idf: Frequencies, similarity: float) -> tuple[np.ndarray, list]:
     """Clusters of texts by links of at least ``similarity``, and the links that hold them together.
 
     All are compared with the first; whoever is not linked to it is compared with all others. Two that
@@ -200,7 +258,7 @@ def linked(texts: list[str], idf: np.ndarray, similarity: float) -> tuple[np.nda
 
 
 def linked_across(
-    left: list[tuple], right: list[tuple], idf: np.ndarray, similarity: float
+    left: list[tuple], right: list[tuple], idf: Frequencies, similarity: float
 ) -> list[tuple]:
     """Links of at least ``similarity`` between two lists of ``(node, class, text)``: of those between
     texts of different classes, as many as make one class of all classes that are linked."""
@@ -431,10 +489,10 @@ def near_classes(
 
     Two texts are linked if the weighted Jaccard similarity of their shingles of five words is at
     least ``similarity``; the weight of a shingle is its count in the text times a damped inverse
-    document frequency of its feature (2**18 features by hash, counted over all documents). Linked
-    texts, directly or over others, are one class; equal texts always are. Candidates agree in one of
-    10 bands of 4 samples: a pair of similarity 0.8 is missed with a chance of 0.5 percent, one of
-    0.9 with 0.003 percent. Buckets with the same members are compared once.
+    document frequency, exact but for rare shingles (in less than one of ``SHARE`` documents), which
+    all weigh the same. Linked texts, directly or over others, are one class; equal texts always are.
+    Candidates agree in one of 10 bands of 4 samples: a pair of similarity 0.8 is missed with a chance
+    of 0.5 percent, one of 0.9 with 0.003 percent. Buckets with the same members are compared once.
 
     A bucket of over 2,000 texts is dealt into parts. Within a part all links are found; between
     parts, at first those of up to 8 texts of each part's largest cluster and of all texts outside it,
@@ -450,8 +508,7 @@ def near_classes(
     rows = docs.select(
         docs[id_col].alias("doc"), F.unhex(F.md5(text)).alias("node"), text.alias("text")
     )
-    counts = document_frequencies(rows.select("text"))
-    idf = spark.sparkContext.broadcast(inverse_frequencies(counts, docs.count()))
+    idf = spark.sparkContext.broadcast(document_frequencies(rows.select("text"), docs.count()))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(BANDS * ROWS)

@@ -191,6 +191,28 @@ def test_links_across_classes_of_a_large_bucket(spark, words, monkeypatch):
     assert joined == {(0, 1), (1, 2), (2, 3), (3, 4)}
 
 
+@pytest.mark.parametrize("bits", [10, 20])
+def test_document_frequencies_are_exact(spark, documents, words, monkeypatch, bits):
+    monkeypatch.setattr(near_dedup, "FEATURE_BITS", bits)
+    monkeypatch.setattr(near_dedup, "SHARE", 10)
+    rows = [(i, f"{words(40, i % 7)} {words(60, 50 + i)}") for i in range(35)] + [(90, ""), (91, "a b")]
+    sets = [near_dedup.shingles(t)[0].tolist() for _, t in rows]
+    counts = collections.Counter(h for s in sets for h in s)
+    found = near_dedup.document_frequencies(documents(*rows).select("text"), len(rows))
+    assert found.hashes.tolist() == sorted(h for h, n in counts.items() if n >= 4)
+    every = np.array(sorted(counts), dtype=np.uint64)
+    seen = np.array([counts[h] for h in every.tolist()])
+    want = near_dedup.inverse_frequencies(seen, len(rows))
+    assert np.allclose(found.of(every)[seen >= 4], want[seen >= 4])
+    assert np.allclose(found.of(every)[seen < 4], 2)
+
+
+def test_weights_depend_on_the_share_of_documents_only():
+    few = near_dedup.inverse_frequencies(np.array([20, 200, 2_000]), 20_000)
+    many = near_dedup.inverse_frequencies(np.array([20, 200, 2_000]) * 1_000, 20_000_000)
+    assert np.allclose(few, many)
+
+
 def test_samples_agree_as_often_as_sets_are_similar():
     rng = np.random.default_rng(2)
     keys = near_dedup.mixed(np.arange(300, dtype=np.uint64))
