@@ -63,9 +63,22 @@ RULES = [
     ("CC-BY-4.0", [27]),
 ]
 
+# The published GPL notices have a comma here, which does not end a sentence: added to the lists above,
+# with places counted on.
+COMMA_FORMS = [
+    f"{SENTENCES[13]}, {SENTENCES[14]}",
+    f"{SENTENCES[13]}, {SENTENCES[15]}",
+]
+COMMA_RULES = [
+    ("GPL-3.0-or-later", [12, len(SENTENCES)]),
+    ("GPL-2.0-or-later", [12, len(SENTENCES) + 1]),
+]
+
 # A sentence ends at a mark before a blank or the text's end; lines end it in the second reading.
 ENDS = r"[.!?;:]+(?=\s|$)"
 LINES = r"[.!?;:]+(?=\s|$)|\n"
+# The dot of "v. 2.0", "ver. 2.0" or "vers. 2.0" ends no sentence.
+VERSION = r"(?i)\b(v|ver|vers)\.(?=[^\S\n]*\n?[^\S\n]*[0-9])"
 
 
 def normalised(sentence: Column) -> Column:
@@ -92,12 +105,13 @@ def scan_licenses(
     """
     spark = docs.sparkSession
     known = spark.createDataFrame(
-        [(i, s) for i, s in enumerate(SENTENCES)], "id int, sentence string"
+        [(i, s) for i, s in enumerate(SENTENCES + COMMA_FORMS)], "id int, sentence string"
     ).select("id", normalised(F.col("sentence")).alias("sentence"))
     shortest = min(len(re.sub("[^a-z0-9]+", " ", s.lower()).strip()) for s in SENTENCES)
     text = F.coalesce(docs[text_col], F.lit(""))
     keys = docs.select(docs[id_col].alias("doc"), F.xxhash64(text).alias("print"))
-    readings = F.array(F.split(text, ENDS, -1), F.split(text, LINES, -1))
+    plain = F.regexp_replace(text, VERSION, "$1 ")
+    readings = F.array(F.split(plain, ENDS, -1), F.split(plain, LINES, -1))
     units = (
         docs.select(
             docs[id_col].alias("doc"),
@@ -113,7 +127,7 @@ def scan_licenses(
     rules = F.array(
         *[
             F.struct(F.lit(name).alias("name"), F.lit(sequence(ids)).alias("ids"))
-            for name, ids in RULES
+            for name, ids in RULES + COMMA_RULES
         ]
     )
     read = (

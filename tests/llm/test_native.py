@@ -1,6 +1,7 @@
 """The operators in plain DataFrame functions, against SQL and by hand."""
 
 import hashlib
+import textwrap
 
 import pytest
 from editstream.llm import decontaminate, licenses, line_dedup, secrets
@@ -73,6 +74,48 @@ def test_licenses_against_sql(documents, compare, words):
     assert named == {0: "MIT", 1: "MIT", 2: "", 3: "CC-BY-NC-4.0", 4: "", 5: ""}
 
 
+GPL = (
+    "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation{} either version {} of the "
+    "License, or (at your option) any later version."
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+    "binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution."
+)
+NOTICES = [
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+     "copy of the MPL was not distributed with this file, You can obtain one at "
+     "https://mozilla.org/MPL/2.0/."),
+    ("GPL-3.0-or-later", GPL.format(":", ",", 3)),
+    ("GPL-3.0-or-later", GPL.format(";", ";", 3)),
+    ("GPL-2.0-or-later", GPL.format(";", ";", 2)),
+    ("GPL-2.0-or-later", GPL.format(":", ",", 2)),
+    ("BSD-2-Clause", BSD),
+    ("BSD-2-Clause,BSD-3-Clause", f"{BSD} 3. {licenses.SENTENCES[20]}."),
+    ("MIT", f"{licenses.SENTENCES[8]}: {licenses.SENTENCES[9]}. {licenses.SENTENCES[10]}. IN NO EVENT"),
+    ("Apache-2.0", f"{licenses.SENTENCES[5]}; {licenses.SENTENCES[1]}. {licenses.SENTENCES[2]} "
+     f"http://www.apache.org/licenses/LICENSE-2.0 {licenses.SENTENCES[3]}. {licenses.SENTENCES[4]}."),
+    *[(name, f"{licenses.SENTENCES[ids[0]]}.") for name, ids in licenses.RULES if len(ids) == 1
+      and name != "MPL-2.0"],
+]
+
+
+def test_every_licence_is_found_by_its_published_notice(documents):
+    assert {n for names, _ in NOTICES for n in names.split(",")} == {n for n, _ in licenses.RULES}
+    rows, want = [], {}
+    for i, (names, text) in enumerate(NOTICES):
+        wrapped = textwrap.fill(text, 60)
+        for j, form in enumerate([text, wrapped, textwrap.indent(wrapped, " * ")]):
+            rows.append((3 * i + j, form))
+            want[3 * i + j] = names
+    found = licenses.scan_licenses(documents(*rows)).collect()
+    assert {r.doc: ",".join(r.licenses) for r in found} == want
+
+
 def changed(text, *places):
     out = text.split()
     for p in places:
