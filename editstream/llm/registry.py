@@ -3,7 +3,19 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from editstream.llm import bpe, decontaminate, language_id, licenses, line_dedup, near_dedup, neighbours, repeats, secrets, warc
+from editstream.llm import (
+    bpe,
+    collocations,
+    decontaminate,
+    language_id,
+    licenses,
+    line_dedup,
+    near_dedup,
+    neighbours,
+    repeats,
+    secrets,
+    warc,
+)
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -16,6 +28,7 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_secrets": secrets.op9_secrets,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op11_collocations": collocations.op11_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,4 +38,5 @@ ORACLES = {
     "op3_licenses": licenses.SQL,
     "op7_line_dedup": line_dedup.SQL,
     "op9_secrets": secrets.SQL,
+    "op11_collocations": collocations.SQL,
 }
