@@ -10,6 +10,7 @@ from editstream.llm import (
     language_id,
     licenses,
     line_dedup,
+    main_text,
     near_dedup,
     neighbours,
     repeats,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_secrets": secrets.op9_secrets,
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_collocations": collocations.op11_collocations,
+    "op12_main_text": main_text.op12_main_text,
     "pipeline": corpus_pipeline.run,
 }
 
