@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editstream.session import staged
-
 
-@contextmanager
-def sliced(df: DataFrame, order: list[str], slice_rows: int, name: str) -> Iterator[DataFrame]:
+def in_slices(df: DataFrame, order: list[str], slice_rows: int) -> DataFrame:
     """The rows of ``df`` with ``slice`` and ``place``, both ascending in the given order.
 
     A range partitioning cuts the order into slices of about ``slice_rows`` rows, whatever the
-    values are; rows that agree in all of ``order`` share a slice. They are staged, so every later
-    pass sees the same slices. ``place`` counts up by one within a slice.
+    values are; rows that agree in all of ``order`` share a slice. ``place`` counts up by one within a
+    slice. The borders come from a sample: stage the rows before they are read twice.
     """
     slices = max(1, -(-df.count() // slice_rows))
     rows = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
-    rows = rows.withColumns(
+    return rows.withColumns(
         {"slice": F.spark_partition_id().cast("long"), "place": F.monotonically_increasing_id()}
     )
-    with staged(rows, name) as stored:
-        yield stored
