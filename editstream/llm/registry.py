@@ -6,6 +6,7 @@ import corpus_pipeline
 from editstream.llm import (
     bpe,
     collocations,
+    conversations,
     decontaminate,
     language_id,
     licenses,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_collocations": collocations.op11_collocations,
     "op12_main_text": main_text.op12_main_text,
+    "op13_conversations": conversations.op13_conversations,
     "pipeline": corpus_pipeline.run,
 }
 
