@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from editstream.functions.columns import join_group_sizes
+from editstream.functions.slices import in_slices
+from editstream.session import kept
 
 CONTENT_KEY = ["title", "user", "comment"]
 
@@ -66,41 +68,43 @@ def repeated_content_members(edits: DataFrame, columns: list[str] = CONTENT_KEY)
 
 
 def late_events(
-    edits: DataFrame, arrival: Column, by: str = "domain", bucket_rows: int = 100_000
+    edits: DataFrame, arrival: Column, by: str = "domain", slice_rows: int = 1_000_000
 ) -> DataFrame:
     """Rows that arrive after a row of the same group with a later server time.
 
-    A running maximum over a whole group would sort the group in one task. Instead the arrival
-    sequence is cut into buckets (a row without a group or an arrival is in one of its own): the maximum per bucket is a small aggregate, the running
-    maximum over buckets a small window, and the window over rows stays inside a bucket.
+    ``arrival`` is whatever tells the sequence: a counter, a time, microseconds. Rows that share one are
+    not before each other; a row without an arrival is before all others of its group.
+
+    A running maximum over a whole group would sort the group in one task. Here the groups'
+    arrivals, each with its latest and earliest time, are put in order and cut into slices of like
+    size, wherever the values lie. The maximum per slice and group is a small aggregate, its running
+    maximum over slices a small window, and the window over arrivals stays in a slice. Only arrivals
+    with a late row are joined back to the rows.
     """
-    rows = edits.withColumn("arrival", arrival.cast("long")).withColumn(
-        "bucket", F.floor(F.col("arrival") / bucket_rows)
+    rows = edits.withColumn("arrival", arrival)
+    times = rows.groupBy(F.col(by).alias("_by"), F.col("arrival").alias("_at")).agg(
+        F.max("dt_server").alias("top"), F.min("dt_server").alias("least")
     )
-    peaks = rows.groupBy(by, "bucket").agg(F.max("dt_server").alias("peak"))
-    earlier_buckets = (
-        Window.partitionBy(by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = kept(in_slices(times, ["_by", "_at"], slice_rows), "arrivals")
+    before = Window.partitionBy("_by").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    peaks = placed.groupBy("_by", "slice").agg(F.max("top").alias("peak")).select(
+        F.col("_by").alias("_group"), F.col("slice").alias("_slice"), F.max("peak").over(before).alias("peak_before")
     )
-    peaks = peaks.select(
-        F.col(by).alias("_by"),
-        F.col("bucket").alias("_bucket"),
-        F.max("peak").over(earlier_buckets).alias("peak_before"),
+    inside = (
+        Window.partitionBy("slice", "_by").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     )
-    earlier_rows = (
-        Window.partitionBy(by, "bucket")
-        .orderBy("arrival")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    same_group = F.col("_by").eqNullSafe(F.col("_group")) & (F.col("slice") == F.col("_slice"))
+    late = (
+        placed.withColumn("peak_inside", F.max("top").over(inside))
+        .join(peaks, same_group)
+        .select("_by", "_at", "least", F.greatest("peak_inside", "peak_before").alias("latest_before"))
+        .where(F.col("latest_before") > F.col("least"))
     )
-    rows = rows.withColumn("peak_inside", F.max("dt_server").over(earlier_rows))
-    latest = F.greatest("peak_inside", "peak_before")
+    here = F.col(by).eqNullSafe(F.col("_by")) & F.col("arrival").eqNullSafe(F.col("_at"))
     return (
-        rows.join(
-            peaks,
-            F.col(by).eqNullSafe(F.col("_by")) & F.col("bucket").eqNullSafe(F.col("_bucket")),
-        )
-        .withColumn("latest_before", latest)
+        rows.join(late.drop("least"), here)
         .where(F.col("latest_before") > F.col("dt_server"))
-        .drop("bucket", "peak_inside", "peak_before", "_by", "_bucket")
+        .drop("_by", "_at")
     )
 
 

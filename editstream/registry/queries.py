@@ -697,9 +697,10 @@ def repeated_content_members(spark, sf_dir):
 
 @query
 def late_events(spark, sf_dir):
-    """Events that arrive in a locally shuffled order of their numbers."""
-    arrival = F.col("evt_id").cast("long").bitwiseXOR(F.lit(5))
-    late = audit.late_events(views.edits(spark, sf_dir), arrival, bucket_rows=500)
+    """Events that arrive in a locally shuffled order of their numbers, told in microseconds."""
+    number = F.col("evt_id").cast("long").bitwiseXOR(F.lit(5))
+    arrival = F.lit(1_700_000_000_000_000) + number * F.lit(86_400_000_003)
+    late = audit.late_events(views.edits(spark, sf_dir), arrival, slice_rows=500)
     return late.select("evt_id", "domain", "dt_server", "latest_before")
 
 

@@ -112,3 +112,10 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove_folder(spark, path)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, staged for a result that is read after the call; gone with the process."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from editstream.functions.columns import join_group_sizes
+from editstream.functions.slices import in_slices
 from editstream.operators import audit, evolution, ingest
 from editstream.schemas import EDIT_SCHEMA
 
@@ -46,8 +48,8 @@ def test_content_copies_against_brute_force(edit_rows):
     ]
 
 
-@pytest.mark.parametrize("bucket", [1, 3, 100])
-def test_late_events_against_brute_force(edit_rows, bucket):
+@pytest.mark.parametrize("rows_of_slice", [1, 3, 100])
+def test_late_events_against_brute_force(edit_rows, rows_of_slice):
     times = [5, 3, 9, 9, 2, 12, 11, 13, 1, 14, 14, 0]
     rows = [
         {"evt_id": str(n), "domain": "ab"[n % 2], "dt_server": at(t)} for n, t in enumerate(times)
@@ -59,7 +61,8 @@ def test_late_events_against_brute_force(edit_rows, bucket):
             if peak is not None and peak > row["dt_server"]:
                 want.add((row["evt_id"], peak))
             peak = max(peak or row["dt_server"], row["dt_server"])
-    late = audit.late_events(edit_rows(*rows), F.col("evt_id").cast("long"), bucket_rows=bucket)
+    arrival = F.col("evt_id").cast("long")
+    late = audit.late_events(edit_rows(*rows), arrival, slice_rows=rows_of_slice)
     assert {(r["evt_id"], r["latest_before"]) for r in late.collect()} == want
 
 
@@ -146,18 +149,57 @@ def test_rows_of_a_hot_group_are_not_shuffled(edit_rows):
     assert sorted((int(r["evt_id"]), r["copies"]) for r in whole.collect()) == got
 
 
-def test_late_events_sort_inside_buckets(edit_rows):
+def sparse(edit_rows, groups=3, count=4000):
+    """Arrivals in microseconds with long pauses; one group has most of the rows."""
+    rng = random.Random(4)
+    rows, clock = [], 1_700_000_000_000_000
+    for i in range(count):
+        clock += rng.choice([1, 7, 10**6, 10**10])
+        group = None if i % 50 == 1 else "hot" if i % 10 else f"g{i % groups}"
+        time = datetime(2024, 1, 1) + timedelta(seconds=i - rng.choice([0] * 9 + [50, 300]))
+        rows.append({"evt_id": str(i), "domain": group, "dt_server": time, "title": str(clock)})
+    return rows, edit_rows(*rows)
+
+
+def test_late_events_of_sparse_arrivals(edit_rows):
+    rows, df = sparse(edit_rows)
+    want, peaks = {}, {}
+    for row in rows:
+        peak = peaks.get(row["domain"])
+        if peak and peak > row["dt_server"]:
+            want[row["evt_id"]] = peak
+        peaks[row["domain"]] = max(peak or row["dt_server"], row["dt_server"])
+    late = audit.late_events(df, F.col("title").cast("long"), slice_rows=250)
+    assert {r["evt_id"]: r["latest_before"] for r in late.collect()} == want
+    assert len(want) > 300
+
+
+def test_slices_are_of_like_size_whatever_the_group(edit_rows):
+    _, df = sparse(edit_rows)
+    slices = in_slices(df.select("domain", F.col("title").cast("long").alias("at")), ["domain", "at"], 250)
+    sizes = sorted(r["count"] for r in slices.groupBy("slice").count().collect())
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+def test_late_events_plan(edit_rows):
     late = audit.late_events(edit_rows({"evt_id": "1"}), F.col("evt_id").cast("long"))
     plan = late._jdf.queryExecution().executedPlan().toString()
-    # The only window over a whole domain reads one row per bucket.
-    assert plan.count("Window [max(dt_server") == 1 and plan.count("Window [max(peak") == 1
+    # A window over slices, and one within a slice; the wide rows are in no window.
+    assert plan.count("Window [max(top") == 1 and plan.count("Window [max(peak") == 1
+    assert "comment" not in "".join(x for x in plan.splitlines() if "Window" in x)
+
+
+def test_rows_of_one_arrival_are_not_before_each_other(edit_rows):
+    rows = [{"evt_id": str(i), "domain": "d", "dt_server": at(-i), "title": None} for i in range(5)]
+    late = audit.late_events(edit_rows(*rows, {**rows[4], "title": "1"}), F.col("title").cast("long"))
+    assert [(r["title"], r["latest_before"]) for r in late.collect()] == [("1", at(0))]
 
 
 def test_rows_without_id_or_group_are_audited(edit_rows):
     time = [datetime(2024, 1, 1, h) for h in (3, 1, 2)]
     rows = edit_rows(*[{"evt_id": None, "title": str(i), "dt_server": t} for i, t in enumerate(time)])
     assert audit.first_per_id(rows).count() == 3
-    late = audit.late_events(rows, F.col("title").cast("long"), bucket_rows=1)
+    late = audit.late_events(rows, F.col("title").cast("long"), slice_rows=1)
     assert sorted(r["title"] for r in late.collect()) == ["1", "2"]
 
 
