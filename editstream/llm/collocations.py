@@ -25,7 +25,7 @@ SUBSUMED = 80
 SCALE = 2_000_000
 UNKNOWN = "und"
 
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 SLOT_BYTES = 8_000_000
 MOST_SIEVE_BITS = 2**28
 
