@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +15,6 @@ from pyspark.sql import functions as F
 from editstream.llm.bpe import chunks
 from editstream.llm.common import packed, python_path, same, stage, table, unpacked
 
-WORDS = re.compile(r"\w+")
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
@@ -39,31 +36,47 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; forgets all when it has grown large."""
+@cache
+def word_points() -> np.ndarray:
+    """For every code point, whether it is part of a word: a letter, a digit or ``_``."""
+    return np.fromiter((chr(i).isalnum() or i == 95 for i in range(0x110000)), dtype=bool)
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
 
+def all_shingles(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the distinct hashes of five neighbouring words, sorted, and how often each occurs.
 
-HASHES = WordHashes()
+    Words are lower-cased. A text of one to four words is one shingle, a text without words has none.
+    The words of all texts are found and hashed together.
+    """
+    lower = [t.lower() for t in texts]
+    points = np.frombuffer("\n".join(lower).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inside = word_points()[points]
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
+    begin, sizes = edges[::2], edges[1::2] - edges[::2]
+    powers = np.full(int(sizes.max(initial=0)), MULTIPLIER, dtype=U64).cumprod(dtype=U64)
+    at = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(at, sizes)
+    letters = points[inside] * powers[place]
+    ids = mixed(np.add.reduceat(letters, at)) if len(at) else letters
+    starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in lower])])
+    borders = np.searchsorted(begin, starts).tolist()
+
+    def joined(ids: np.ndarray, width: int) -> np.ndarray:
+        total = np.zeros(max(len(ids) - width + 1, 0), dtype=U64)
+        for i in range(width):
+            total = total * MULTIPLIER + ids[i : i + len(total)]
+        return mixed(total + U64(width))
+
+    whole, out = joined(ids, SHINGLE), []
+    for first, last in zip(borders, borders[1:]):
+        n = last - first
+        own = whole[first : last - SHINGLE + 1] if n >= SHINGLE else joined(ids[first:last], n)[: min(n, 1)]
+        out.append(np.unique(own, return_counts=True))
+    return out
 
 
 def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of five neighbouring words, sorted, and how often each occurs. A text of one
-    to four words is one shingle, a text without words has none."""
-    words = WORDS.findall(text.lower())
-    ids = np.array([HASHES[w] for w in words], dtype=U64)
-    if not len(ids):
-        return ids, np.zeros(0, dtype=np.int64)
-    width = min(SHINGLE, len(ids))
-    joined = np.zeros(len(ids) - width + 1, dtype=U64)
-    for i in range(width):
-        joined = joined * MULTIPLIER + ids[i : len(ids) - width + 1 + i]
-    return np.unique(mixed(joined + U64(width)), return_counts=True)
+    return all_shingles([text])[0]
 
 
 def feature(hashes: np.ndarray, bits: int = FEATURE_BITS) -> np.ndarray:
@@ -155,7 +168,7 @@ def document_frequencies(docs: DataFrame, n_docs: int) -> Frequencies:
         total = np.zeros(1 << bits, dtype=np.int64)
         for batch in batches:
             for part in chunks(batch, "text", CHUNK_CHARS):
-                found = [shingles(t)[0] for t in part.column("text").to_pylist()]
+                found = [h for h, _ in all_shingles(part.column("text").to_pylist())]
                 total += np.bincount(feature(np.concatenate(found), bits), minlength=len(total))
         rows = [narrow(total[i * width : (i + 1) * width]) for i in range(PARTS)]
         yield pa.RecordBatch.from_arrays(
@@ -184,7 +197,7 @@ def document_frequencies(docs: DataFrame, n_docs: int) -> Frequencies:
         wanted = np.unpackbits(np.frombuffer(packed_sieve.value, np.uint8)).astype(bool)
         for batch in batches:
             for part in chunks(batch, "text", CHUNK_CHARS):
-                found = np.concatenate([shingles(t)[0] for t in part.column("text").to_pylist()])
+                found = np.concatenate([h for h, _ in all_shingles(part.column("text").to_pylist())])
                 hashes, n = np.unique(found[wanted[feature(found, bits)]], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "n"]
@@ -210,11 +223,10 @@ def inverse_frequencies(counts: np.ndarray, docs: int) -> np.ndarray:
     return 1 + np.clip(np.log(max(docs, 1) / seen) / np.log(SHARE), 0, 1)
 
 
-def weighted(text: str, idf: Frequencies | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``idf``: by shingle, or an array by feature."""
-    hashes, counts = shingles(text)
-    known = idf.of(hashes) if isinstance(idf, Frequencies) else idf[feature(hashes)]
-    return hashes, counts * known
+def weighted(texts: list[str], idf: Frequencies | np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Shingles of each text with their weights. ``idf``: by shingle, or an array by feature."""
+    known = idf.of if isinstance(idf, Frequencies) else lambda hashes: idf[feature(hashes)]
+    return [(hashes, counts * known(hashes)) for hashes, counts in all_shingles(texts)]
 
 
 def linked(texts: list[str], idf: Frequencies, similarity: float) -> tuple[np.ndarray, list]:
@@ -223,7 +235,7 @@ def linked(texts: list[str], idf: Frequencies, similarity: float) -> tuple[np.nd
     All are compared with the first; whoever is not linked to it is compared with all others. Two that
     are both linked to the first are in its cluster anyway.
     """
-    sets = [weighted(t, idf) for t in texts]
+    sets = weighted(texts, idf)
     sizes = np.array([len(h) for h, _ in sets])
     flat, places = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
     weights = np.concatenate([w for _, w in sets])
@@ -262,7 +274,7 @@ def linked_across(
 ) -> list[tuple]:
     """Links of at least ``similarity`` between two lists of ``(node, class, text)``: of those between
     texts of different classes, as many as make one class of all classes that are linked."""
-    sets = [weighted(t, idf) for _, _, t in right]
+    sets = weighted([t for _, _, t in right], idf)
     sizes = np.array([len(h) for h, _ in sets])
     flat, places = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
     weights = np.concatenate([w for _, w in sets])
@@ -279,7 +291,7 @@ def linked_across(
         own = merged[number[own_class]]
         if (merged[classes] == own).all():
             continue
-        hashes, own_weights = weighted(text, idf)
+        [(hashes, own_weights)] = weighted([text], idf)
         at = np.minimum(np.searchsorted(flat, hashes), len(flat) - 1)
         known = flat[at] == hashes
         dense[at[known]] = own_weights[known]
@@ -515,8 +527,7 @@ def near_classes(
         for batch in batches:
             for part in chunks(batch, "text", CHUNK_CHARS):
                 bands = []
-                for t in part.column("text").to_pylist():
-                    hashes, weights = weighted(t, idf.value)
+                for hashes, weights in weighted(part.column("text").to_pylist(), idf.value):
                     found = sampler.bands(hashes, weights) if len(hashes) else hashes
                     bands.append(found.view(np.int64).tolist())
                 yield pa.RecordBatch.from_arrays(

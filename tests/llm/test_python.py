@@ -3,6 +3,8 @@
 import collections
 import hashlib
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -101,13 +103,30 @@ def test_language_held_out(spark):
     assert right >= 0.97 * docs.count()
 
 
+def test_shingles_of_many_texts_equal_those_of_one(words):
+    odd = ["", "a", "a b c d", "a b c d e", "A b C d e F", "ΑΣ ΣΑΣ. Σ x y", "İ x İ y z İİ", "a\nb\nc d e\n"]
+    odd += ["1_2 ß Ǆ 𝔘𝔫 ٣ é", "..", "\n\n", "x" * 5000 + " y" * 9, words(400, 1), words(400, 1) + " end"]
+    known = {}
+    for text, (hashes, counts) in zip(odd, near_dedup.all_shingles(odd)):
+        found = re.findall(r"\w+", text.lower())
+        width = min(5, len(found))
+        plain = Counter(tuple(found[i : i + width]) for i in range(len(found) - width + 1) if found)
+        assert sorted(counts.tolist()) == sorted(plain.values()) and (np.diff(hashes.view(np.int64)) != 0).all()
+        alone = near_dedup.shingles(text)
+        assert (alone[0] == hashes).all() and (alone[1] == counts).all()
+        known[text] = set(hashes.tolist()), set(plain)
+    for left, left_plain in known.values():
+        for right, right_plain in known.values():
+            assert len(left & right) == len(left_plain & right_plain)
+
+
 def plain_classes(docs):
     counts = np.zeros(1 << near_dedup.FEATURE_BITS, dtype=np.int64)
     for _, text in docs:
         found = near_dedup.feature(near_dedup.shingles(text)[0])
         counts += np.bincount(found, minlength=len(counts))
     idf = near_dedup.inverse_frequencies(counts, len(docs))
-    sets = [dict(zip(*[x.tolist() for x in near_dedup.weighted(t, idf)])) for _, t in docs]
+    sets = [dict(zip(*[x.tolist() for x in near_dedup.weighted([t], idf)[0]])) for _, t in docs]
     parent = list(range(len(docs)))
 
     def root(i):
