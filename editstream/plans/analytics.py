@@ -14,6 +14,34 @@ def _user_time() -> Column:
     return parse_time(F.col("dt_user"))
 
 
+def on_user_day(edits: DataFrame, day: Column) -> DataFrame:
+    """Events whose user time is on that day.
+
+    A stored table also keeps the day as a column, and that condition reaches the Parquet scan; files
+    of before it was kept have NULL there and are read.
+    """
+    rows = edits.where(F.to_date(_user_time()) == day)
+    if "user_day" in edits.columns:
+        rows = rows.where((F.col("user_day") == day) | F.col("user_day").isNull())
+    return rows
+
+
+def of_latest_days(edits: DataFrame, days: int) -> DataFrame:
+    """Enough of a stored table for its latest ``days`` days by user time.
+
+    The days are looked up in one narrow column first (a job of its own), so that the scan of the wide
+    ones can pass over all older files. Tables without that column are taken whole.
+    """
+    if "user_day" not in edits.columns:
+        return edits
+    newest = edits.select("user_day").where("user_day is not null").distinct()
+    found = newest.orderBy(F.desc("user_day")).limit(days).collect()
+    if len(found) < days:
+        return edits
+    first = F.lit(found[-1]["user_day"])
+    return edits.where((F.col("user_day") >= first) | F.col("user_day").isNull())
+
+
 def _size_change() -> Column:
     return F.col("len_new") - F.col("len_old")
 
@@ -214,7 +242,8 @@ def flag_rate_by_domain(edits: DataFrame, flagged: DataFrame, more_than: int = 1
 
 def events_per_hour(edits: DataFrame, limit: int = 24) -> DataFrame:
     return (
-        edits.groupBy(F.date_trunc("HOUR", _user_time()).alias("hour"))
+        of_latest_days(edits, limit)
+        .groupBy(F.date_trunc("HOUR", _user_time()).alias("hour"))
         .agg(F.count("*").alias("event_count"))
         .orderBy(F.desc("hour"))
         .limit(limit)
@@ -223,7 +252,8 @@ def events_per_hour(edits: DataFrame, limit: int = 24) -> DataFrame:
 
 def events_per_day(edits: DataFrame, limit: int = 30) -> DataFrame:
     return (
-        edits.groupBy(F.to_date(_user_time()).alias("day"))
+        of_latest_days(edits, limit)
+        .groupBy(F.to_date(_user_time()).alias("day"))
         .agg(F.count("*").alias("event_count"), F.count_distinct("user").alias("unique_users"))
         .orderBy(F.desc("day"))
         .limit(limit)
@@ -233,7 +263,7 @@ def events_per_day(edits: DataFrame, limit: int = 30) -> DataFrame:
 def events_per_minute(edits: DataFrame, day: Column | None = None) -> DataFrame:
     day = F.current_date() if day is None else day
     return (
-        edits.where(F.to_date(_user_time()) == day)
+        on_user_day(edits, day)
         .groupBy(F.date_trunc("MINUTE", _user_time()).alias("minute"))
         .agg(F.count("*").alias("events_per_minute"))
         .orderBy(F.desc("minute"))

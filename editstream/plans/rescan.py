@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from editstream.functions import rulebook
 from editstream.operators.detect import SAMPLE_LENGTH, flagged_records, with_flags
+from editstream.plans import finished
 from editstream.plans.routing import RuleSet, rule_set
 from editstream.session import sized_shuffles, staged
 from editstream.sources.tables import SCAN_COLUMNS, read_table, write_table
@@ -38,38 +39,40 @@ def pending(edits: DataFrame, flagged: DataFrame, clean: DataFrame, version: str
 
 
 @contextmanager
-def pending_rows(
-    edits: DataFrame, flagged: DataFrame, clean: DataFrame, version: str
-) -> Iterator[DataFrame]:
-    """:func:`pending` for wide tables, where the texts should not be shuffled.
-
-    A version that has never run needs no join. Otherwise only ids meet in the anti join; what
-    is left is staged, and the texts are read against it: with few pending ids Spark broadcasts
-    them by their known size, with many it shuffles both sides.
+def pending_rows(edits: DataFrame, done: DataFrame) -> Iterator[DataFrame]:
+    """Edits whose ids are not in ``done``, for wide tables, where texts should not be shuffled.
+
+    A version that has never run needs no join. Otherwise only ids meet in the anti join, which
+    leaves the index of finished ids where it lies; what is left is staged, and the texts are read
+    against it: with few pending ids Spark broadcasts them by their known size, with many it shuffles
+    both sides.
     """
-    if finished_ids(flagged, clean, version).isEmpty():
+    if done.isEmpty():
         yield edits
         return
-    ids = pending(edits.select("evt_id").distinct(), flagged, clean, version)
-    with staged(ids, "pending") as todo:
+    with staged(finished.pending_ids(edits, done), "pending") as todo:
         yield edits.join(todo, edits["evt_id"].eqNullSafe(todo["evt_id"]), "left_semi")
 
 
 def rescan(
-    spark: SparkSession, root: str, rules: str | RuleSet = rulebook.LATEST_VERSION
+    spark: SparkSession,
+    root: str,
+    rules: str | RuleSet = rulebook.LATEST_VERSION,
+    buckets: int | None = None,
 ) -> dict[str, int]:
     """Screen what is pending and append to the flagged and clean tables.
 
-    The flagged rows are written first; should the job end between the two writes, the next
-    run finds them and only adds the clean rows.
+    What is finished is told by an index of these two tables, brought up to date first. The flagged
+    rows are written first; should the job end between the two writes, the next run finds them and
+    only adds the clean rows. ``buckets`` is for a new index.
     """
     version = rule_set(rules).version
     edits = read_table(spark, root, "edits").select(*SCAN_COLUMNS, "dt_user")
-    flagged = read_table(spark, root, "flagged")
-    clean = read_table(spark, root, "clean")
+    finished.sync(spark, root, buckets)
+    done = finished.screened_ids(spark, root, version)
     run = f"rescan-{version}-{uuid.uuid4().hex}"
     as_of = F.lit(datetime.now(timezone.utc))
-    with sized_shuffles(edits), pending_rows(edits, flagged, clean, version) as todo:
+    with sized_shuffles(edits), pending_rows(edits, done) as todo:
         with staged(screened_for_tables(todo, rule_set(rules).rules), "rescan") as rows:
             write_table(flagged_records(rows, version, as_of), root, "flagged", run)
             write_table(clean_markers(rows, version), root, "clean", run)

@@ -656,11 +656,24 @@ ORACLES["pending_scan"] = f"""{FLAGGED},
 done AS MATERIALIZED (
   SELECT evt_id FROM flagged WHERE type = 'edit' UNION ALL SELECT evt_id FROM edits WHERE type = 'new'
 )
-SELECT {column_list(SCAN_COLUMNS)} FROM edits ANTI JOIN done USING (evt_id)"""
+SELECT {column_list(SCAN_COLUMNS, comment="md5(comment)", parsed_comment="md5(parsed_comment)")}
+FROM edits ANTI JOIN done USING (evt_id)"""
+ORACLES["indexed_pending"] = f"""{FLAGGED},
+done AS MATERIALIZED (
+  SELECT evt_id FROM flagged WHERE type = 'edit' UNION ALL SELECT evt_id FROM edits WHERE type = 'new'
+)
+SELECT evt_id FROM edits ANTI JOIN done USING (evt_id)"""
+ORACLES["rescan_by_rule_totals"] = ORACLES["rescan_totals"]
 ORACLES["stored_edits_by_day"] = f"""{_E}
 SELECT {column_list()} FROM edits WHERE CAST(dt_server AS DATE) = DATE '2024-01-15'"""
 
 ORACLES["compacted_edits"] = ORACLES["stored_edits_by_day"]
+for _name in ("events_per_hour", "events_per_day", "events_per_minute"):
+    ORACLES[f"stored_{_name}"] = ORACLES[_name]
+ORACLES["table_versions"] = f"""{_E}
+SELECT CAST(v AS BIGINT) AS version, type, count(*) AS rows
+FROM edits, (SELECT unnest([0, 1, 2, 3, 4, 4]) AS v, unnest([0, 1, 2, 2, 2, 3]) AS part)
+WHERE CASE WHEN part < 3 THEN i % 3 <= part ELSE i % 3 = 1 AND type = 'edit' END GROUP BY ALL"""
 ORACLES["migrated_table"] = f"{_E}\nSELECT {column_list()} FROM edits"
 
 # --- Streams over time, backlog ---------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,11 @@ from editstream.functions import rulebook
 from editstream.functions import variants as V
 from editstream.functions.columns import sanitize_text
 from editstream.operators import audit, detect, evolution, flatten, ingest, quality, validate
-from editstream.plans import analytics, rescan, routing
+from editstream.plans import analytics, by_rule, finished, rescan, routing
 from editstream.registry.plain import plain
 from editstream.schemas import EDIT_FIELDS, EDIT_SCHEMA
 from editstream.session import configure, scratch_dir
-from editstream.sources import event_lines, rule_files, tables, views
+from editstream.sources import event_lines, rule_files, snapshots, tables, views
 from editstream.streaming import ingest as stream_ingest
 from editstream.streaming import rates
 
@@ -493,8 +494,37 @@ def pending_scan(spark, sf_dir):
     clean = edits.where("type = 'new'").select(
         F.col("evt_id").alias("event_id"), F.lit(rulebook.LATEST_VERSION).alias("rule_version")
     )
-    return rescan.pending(edits, flagged, clean, rulebook.LATEST_VERSION).select(
-        tables.SCAN_COLUMNS
+    left = rescan.pending(edits, flagged, clean, rulebook.LATEST_VERSION).select(tables.SCAN_COLUMNS)
+    return left.withColumns({c: F.md5(c) for c in ("comment", "parsed_comment")})
+
+
+@query
+def indexed_pending(spark, sf_dir):
+    """The same from stored tables, through the index of finished ids."""
+    root = scratch_dir(spark, "indexed")
+    edits, version = views.edits(spark, sf_dir), rulebook.LATEST_VERSION
+    tables.write_table(edits, root, "edits", "load")
+    tables.write_table(_flagged(spark, sf_dir).where("edit_type = 'edit'"), root, "flagged", "a")
+    finished.sync(spark, root)
+    new = edits.where("type = 'new'").select(
+        F.col("evt_id").alias("event_id"), F.lit(version).alias("rule_version")
+    )
+    tables.write_table(new, root, "clean", "b")
+    finished.sync(spark, root)
+    stored = tables.read_table(spark, root, "edits")
+    return finished.pending_ids(stored, finished.screened_ids(spark, root, version))
+
+
+@query
+def rescan_by_rule_totals(spark, sf_dir):
+    """Two versions screened rule by rule, the second from the first's hits but for its own rules."""
+    root = scratch_dir(spark, "by-rule")
+    tables.ensure_tables(spark, root)
+    tables.write_table(views.edits(spark, sf_dir), root, "edits", "load")
+    for version in ("1.0.2", "1.0.3"):
+        by_rule.rescan_changed(spark, root, version)
+    return rescan.version_totals(
+        tables.read_table(spark, root, "flagged"), tables.read_table(spark, root, "clean")
     )
 
 
@@ -520,6 +550,44 @@ def stored_edits_by_day(spark, sf_dir):
     return tables.on_day(stored, F.lit("2024-01-15").cast("date")).select(EDIT_FIELDS)
 
 
+def _stored_query(build, name: str, **options) -> None:
+    """A stored query over a table on disk, where the day of the user time prunes the scan."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_dir(spark, name)
+        tables.write_table(views.edits(spark, sf_dir), root, "edits", "load")
+        return build(tables.read_table(spark, root, "edits"), **options)
+
+    run.__name__ = name
+    query(run)
+
+
+_stored_query(analytics.events_per_hour, "stored_events_per_hour")
+_stored_query(analytics.events_per_day, "stored_events_per_day")
+_stored_query(
+    lambda edits: analytics.events_per_minute(edits, F.lit("2024-01-15").cast("date")),
+    "stored_events_per_minute",
+)
+
+
+@query
+def table_versions(spark, sf_dir):
+    """Rows by type in every version of a table: three writes, a compaction, a batch written again."""
+    root = scratch_dir(spark, "versions")
+    edits = views.edits(spark, sf_dir)
+    part = F.pmod(F.col("evt_id").cast("long"), F.lit(3))
+    for number in range(3):
+        tables.write_table(edits.where(part == number), root, "edits", number)
+    day = edits.agg(F.min(F.to_date("dt_server"))).first()[0]
+    tables.compact_day(spark, root, "edits", str(day))
+    tables.write_table(edits.where((part == 1) & (F.col("type") == "edit")), root, "edits", 3)
+    found = [
+        tables.read_table(spark, root, "edits", version=v).select(F.lit(v).alias("version"), "type")
+        for v in snapshots.versions(spark, tables.table_path(root, "edits"))
+    ]
+    return reduce(DataFrame.unionAll, found).groupBy("version", "type").agg(F.count("*").alias("rows"))
+
+
 @query
 def compacted_edits(spark, sf_dir):
     """Edits written in three batches, of which one day is rewritten as one and read back."""

@@ -1,8 +1,9 @@
-"""Stored tables: one folder per table, day partitions, and in these one folder per write.
+"""Stored tables: folders per write and day, and a manifest that names those of each version.
 
-``<root>/<table>/day=<date>/batch_id=<id>/*.parquet``. A read of a day lists the folders of that day
-only. A write owns the folders of its ``batch_id`` and replaces them, so repeating a micro-batch or a
-failed run leaves no duplicate rows. :func:`compact_day` merges the batches of a day that is over.
+``<root>/<table>/run=<write>/day=<date>/batch_id=<id>/*.parquet``. A write replaces what its ``batch_id``
+wrote before, in one step: repeating a micro-batch or a failed run leaves no duplicate rows, and readers
+see the table before or after it. :func:`compact_day` merges the batches of a day that is over.
+See :mod:`editstream.sources.snapshots`.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from editstream.functions.columns import parse_time
 from editstream.schemas import CLEAN_SCHEMA, DEAD_LETTER_SCHEMA, EDIT_SCHEMA, FLAGGED_SCHEMA
+from editstream.sources import snapshots
 
 SCHEMAS = {
     "edits": EDIT_SCHEMA,
@@ -26,9 +29,11 @@ DAY_SOURCE = {
     "dead_letter": "_validation_timestamp",
     "flagged": "detection_timestamp",
 }
-SORT_WITHIN = {"flagged": ["rule_version", "domain"]}
+SORT_WITHIN = {"flagged": ["rule_version", "domain"], "edits": ["user_day"]}
 PARTITION_FIELDS = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.StringType())]
-NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+#: Columns that are stored beside the declared ones: the day of the user time, by which files are
+#: sorted, so that Parquet's own minima and maxima let queries on that time pass over most of them.
+DERIVED_FIELDS = {"edits": [T.StructField("user_day", T.DateType())]}
 
 # --- Fixed value: the columns a rescan reads ---
 SCAN_COLUMNS = [
@@ -44,15 +49,12 @@ SCAN_COLUMNS = [
 ]
 
 
-def table_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{table}"
+def _derived(table: str) -> dict[str, Column]:
+    return {"user_day": F.to_date(parse_time(F.col("dt_user")))} if table == "edits" else {}
 
 
-def _folders(spark: SparkSession, pattern: str) -> tuple:
-    """The file system of a path, and the folders that match it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files, [status.getPath() for status in files.globStatus(path) or []]
+def table_path(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{table}"
 
 
 def write_table(
@@ -65,51 +67,67 @@ def write_table(
     many tasks, small days share one. A bulk load in order of time, whose tasks hold few days anyway,
     can do without that shuffle.
     """
-    path = table_path(root, table)
-    if table not in DAY_SOURCE:
-        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        return
-    files, before = _folders(df.sparkSession, f"{path}/day=*/batch_id={batch_id}")
-    for folder in before:
-        files.delete(folder, True)
-    df = df.withColumns({"day": F.to_date(DAY_SOURCE[table]), "batch_id": F.lit(str(batch_id))})
-    if gather_days:
-        df = df.hint("rebalance", "day")
-    df = df.sortWithinPartitions("day", *SORT_WITHIN.get(table, []))
-    df.write.mode("append").partitionBy("day", "batch_id").parquet(path)
+    spark, path = df.sparkSession, table_path(root, table)
+    added = _write_run(df, path, table, str(batch_id), gather_days)
+    snapshots.commit(
+        spark, path, lambda now: [f for f in now if f.batch_id != str(batch_id)] + added
+    )
+
+
+def _write_run(
+    df: DataFrame, path: str, table: str, batch_id: str, gather_days: bool
+) -> list[snapshots.Folder]:
+    """Write rows to folders of their own, which no reader sees yet."""
+    run = uuid.uuid4().hex
+    df = df.withColumns({**_derived(table), "batch_id": F.lit(batch_id)})
+    if table in DAY_SOURCE:
+        df = df.withColumn("day", F.to_date(DAY_SOURCE[table]))
+        if gather_days:
+            df = df.hint("rebalance", "day")
+        df = df.sortWithinPartitions("day", *SORT_WITHIN.get(table, []))
+    by = ["day", "batch_id"] if table in DAY_SOURCE else ["batch_id"]
+    df.write.partitionBy(*by).parquet(f"{path}/run={run}")
+    return snapshots.written(df.sparkSession, path, run, batch_id)
 
 
 def compact_day(spark: SparkSession, root: str, table: str, day: str) -> None:
     """Rewrite a day that gets no more batches as one batch of few files.
 
-    The new files are written to a folder that readers pass over, then take the place of the old
-    ones. A run that broke off in between is finished by the next one from that folder.
+    The old files stay until :func:`snapshots.vacuum`, for readers that are at them. If one of the
+    day's batches is replaced meanwhile, the new files are given up and a :class:`snapshots.Moved`
+    is raised.
     """
     path = table_path(root, table)
-    ready = f"{path}/_compacted/day={day}"
-    files, done = _folders(spark, f"{ready}/_SUCCESS")
-    if not done:
-        stored = read_table(spark, root, table).where(F.col("day").cast("string") == day)
-        merged = stored.drop("day", "batch_id").hint("rebalance")
-        merged = merged.sortWithinPartitions(*(SORT_WITHIN.get(table) or [DAY_SOURCE[table]]))
-        merged.write.mode("overwrite").parquet(ready)
-    for folder in _folders(spark, f"{path}/day={day}/batch_id=*")[1]:
-        files.delete(folder, True)
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/day={day}")
-    files.mkdirs(target)
-    whole = spark._jvm.org.apache.hadoop.fs.Path(target, f"batch_id=compacted-{uuid.uuid4().hex}")
-    files.rename(spark._jvm.org.apache.hadoop.fs.Path(ready), whole)
+    old = [f for f in snapshots.folders(spark, path) if f.day == day]
+    if len(old) < 2:
+        return
+    stored = read_folders(spark, root, table, old)
+    batch_id = f"compacted-{uuid.uuid4().hex}"
+    added = _write_run(stored.drop("day", "batch_id"), path, table, batch_id, gather_days=True)
+    # What a folder was compacted from in the end: folders of writes only.
+    merged = tuple(p for f in old for p in (f.merged or (f.path,)))
+    added = [f._replace(merged=merged) for f in added]
+
+    def replace(now: list[snapshots.Folder]) -> list[snapshots.Folder]:
+        if not set(old) <= set(now):
+            raise snapshots.Moved(f"{table} of {day} has changed while it was compacted")
+        return [f for f in now if f not in old] + added
+
+    snapshots.commit(spark, path, replace)
 
 
 def ensure_tables(spark: SparkSession, root: str) -> None:
-    """Create the tables that do not exist yet, empty; of existing ones, check the columns."""
-    for table, schema in SCHEMAS.items():
+    """Create the tables that do not exist yet, empty; of existing ones, check the columns.
+
+    Tables of before there were manifests are taken over as they are.
+    """
+    for table in SCHEMAS:
         path = table_path(root, table)
-        if _folders(spark, path)[1]:
+        snapshots.adopt(spark, path)
+        if snapshots.versions(spark, path):
             check_columns(spark, root, table)
-            continue
-        day = f"/day={NO_DAY}" if table in DAY_SOURCE else ""
-        spark.createDataFrame([], schema).write.parquet(f"{path}{day}/batch_id=created")
+        else:
+            snapshots.commit(spark, path, lambda now: now)
 
 
 def check_columns(spark: SparkSession, root: str, table: str) -> list[str]:
@@ -117,7 +135,11 @@ def check_columns(spark: SparkSession, root: str, table: str) -> list[str]:
 
     A column that is stored under another type cannot be read as declared: a ValueError names it.
     """
-    merged = spark.read.option("mergeSchema", "true").parquet(table_path(root, table)).schema
+    path = table_path(root, table)
+    files = [f"{path}/{f.path}" for f in snapshots.folders(spark, path)]
+    if not files:
+        return []
+    merged = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*files).schema
     stored = {f.name: f.dataType.simpleString() for f in merged}
     declared = {f.name: f.dataType.simpleString() for f in SCHEMAS[table]}
     changed = [f"{n}: {stored[n]} is stored, {t} declared" for n, t in declared.items() if stored.get(n, t) != t]
@@ -126,16 +148,48 @@ def check_columns(spark: SparkSession, root: str, table: str) -> list[str]:
     return [n for n in declared if n not in stored]
 
 
+def _stored_fields(table: str) -> list[T.StructField]:
+    partitions = PARTITION_FIELDS if table in DAY_SOURCE else PARTITION_FIELDS[1:]
+    return [*SCHEMAS[table].fields, *DERIVED_FIELDS.get(table, []), *partitions]
+
+
+def read_folders(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    found: list[snapshots.Folder],
+    extra: list[T.StructField] = (),
+) -> DataFrame:
+    """Some folders of a table, as :func:`read_table` gives them."""
+    fields = _stored_fields(table)
+    partitions = len(fields) - (2 if table in DAY_SOURCE else 1)
+    schema = T.StructType([*fields[:partitions], *extra, *fields[partitions:]])
+    if not found:
+        return spark.createDataFrame([], schema)
+    path = table_path(root, table)
+    files = [f"{path}/{f.path}" for f in found]
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*files)
+    return rows.select(schema.fieldNames())
+
+
 def read_table(
-    spark: SparkSession, root: str, table: str, extra: list[T.StructField] = ()
+    spark: SparkSession,
+    root: str,
+    table: str,
+    extra: list[T.StructField] = (),
+    version: int | None = None,
+    days: list[str] | None = None,
 ) -> DataFrame:
     """The table under its declared schema; columns that older files lack read as NULL.
 
-    ``day`` prunes folders; ``extra`` names columns that files may hold beyond the schema.
+    ``version`` is a state of the table, by default the newest. ``day`` prunes folders; with ``days``
+    the folders of other days are not even listed. ``extra`` names columns that files may hold beyond
+    the schema.
     """
-    partitions = PARTITION_FIELDS if table in DAY_SOURCE else PARTITION_FIELDS[1:]
-    schema = T.StructType(SCHEMAS[table].fields + list(extra) + partitions)
-    return spark.read.schema(schema).parquet(table_path(root, table))
+    found = snapshots.folders(spark, table_path(root, table), version)
+    if days is not None:
+        found = [f for f in found if f.day in days]
+    return read_folders(spark, root, table, found, extra)
 
 
 def register_views(spark: SparkSession, root: str, name: str = "edits") -> list[str]:

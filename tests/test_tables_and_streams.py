@@ -1,5 +1,4 @@
 import json
-import shutil
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -330,15 +329,10 @@ def test_days_are_pruned_and_batches_replaced(spark, edit_rows, tmp_path):
     assert [r["evt_id"] for r in one.collect()] == ["a1"]
 
 
-@pytest.mark.parametrize("broken_off", [False, True])
-def test_a_compacted_day_keeps_its_rows(spark, edit_rows, tmp_path, broken_off):
+def test_a_compacted_day_keeps_its_rows(spark, edit_rows, tmp_path):
     root = str(tmp_path)
     stored_days(spark, edit_rows, root)
     before = content(tables.read_table(spark, root, "edits"))
-    if broken_off:  # the merged files are there, the old ones partly gone
-        day = spark.read.schema(EDIT_SCHEMA).parquet(f"{root}/edits/day=2024-01-01/*")
-        day.write.parquet(f"{root}/edits/_compacted/day=2024-01-01")
-        shutil.rmtree(f"{root}/edits/day=2024-01-01/batch_id=a")
     tables.compact_day(spark, root, "edits", "2024-01-01")
     read = tables.read_table(spark, root, "edits")
     assert content(read) == before
