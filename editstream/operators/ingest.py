@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from editstream.functions import variants as V
@@ -43,29 +43,61 @@ def classify_events(lines: DataFrame) -> DataFrame:
     return compute_once(parse_events(lines), reason=reject_reason(F.col("event")))
 
 
-def accepted_events(lines: DataFrame) -> DataFrame:
-    return classify_events(lines).where("reason = 'OK'").drop("reason")
+#: Columns of the job's progress, by what became of a line.
+REASON_COUNTS = {
+    "accepted": "OK",
+    "not_decoded": "DECODE_ERROR",
+    "bad_meta": "BAD_META",
+    "missing_meta_field": "MISSING_META_FIELD",
+    "bad_type": "BAD_TYPE",
+    "canaries": "CANARY",
+}
+
+
+def count_reasons(classified: DataFrame, observation: Observation | str) -> DataFrame:
+    """Count lines and reasons on the way, without a pass of their own."""
+    counts = [
+        F.count_if(F.col("reason") == reason).alias(name) for name, reason in REASON_COUNTS.items()
+    ]
+    return classified.observe(observation, F.count(F.lit(1)).alias("lines"), *counts)
+
+
+def accepted_events(lines: DataFrame, observation: Observation | str | None = None) -> DataFrame:
+    classified = classify_events(lines)
+    if observation is not None:
+        classified = count_reasons(classified, observation)
+    return classified.where("reason = 'OK'").drop("reason")
 
 
 def reject_counts(lines: DataFrame) -> DataFrame:
     return classify_events(lines).groupBy("reason").agg(F.count("*").alias("events"))
 
 
-def stripped_media_json(event: Column) -> Column:
-    """The event as JSON, without its heavy payload if it is in the media namespace."""
+def has_media_payload(event: Column) -> Column:
+    """Whether the event is in the media namespace and holds the heavy key."""
     namespace = V.child(event, "$.namespace")
     kind = V.kind(namespace)
-    is_media = F.coalesce(
-        ((kind == "BIGINT") | V.is_fraction(kind)) & (V.as_double(namespace) == MEDIA_NAMESPACE),
-        F.lit(False),
-    )
-    has_payload = V.child(event, f"$.{MEDIA_PAYLOAD_KEY}").isNotNull()
-    kept = F.map_filter(
-        event.cast("map<string,variant>"), lambda key, _: key != MEDIA_PAYLOAD_KEY
-    )
-    return F.when(is_media & has_payload, F.to_json(kept)).otherwise(F.to_json(event))
+    is_media = ((kind == "BIGINT") | V.is_fraction(kind)) & (V.as_double(namespace) == MEDIA_NAMESPACE)
+    return F.coalesce(is_media, F.lit(False)) & V.child(event, f"$.{MEDIA_PAYLOAD_KEY}").isNotNull()
+
+
+def _without_payload(event: Column) -> Column:
+    entries = event.cast("map<string,variant>")
+    return F.to_json(F.map_filter(entries, lambda key, _: key != MEDIA_PAYLOAD_KEY))
+
+
+def stripped_media_json(event: Column) -> Column:
+    """The event as JSON, without its heavy payload if it is in the media namespace."""
+    return F.when(has_media_payload(event), _without_payload(event)).otherwise(F.to_json(event))
 
 
 def strip_media(events: DataFrame) -> DataFrame:
     """Replace ``value`` by the stripped JSON; the flattened columns never use that payload."""
     return events.withColumn("value", stripped_media_json(F.col("event")))
+
+
+def lighten(events: DataFrame) -> DataFrame:
+    """Replace ``value`` where it holds a heavy media payload; all other lines stay as they came."""
+    event, text = F.col("event"), decoded_text(F.col("value"))
+    light = F.when(has_media_payload(event), _without_payload(event)).otherwise(text)
+    return events.withColumn("value", light)

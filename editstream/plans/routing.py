@@ -6,33 +6,45 @@ from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from editstream.functions import rulebook
 from editstream.functions import variants as V
 from editstream.operators.detect import flagged_records, with_flags
 from editstream.operators.flatten import clean_booleans, flat_records, flatten
-from editstream.operators.ingest import accepted_events, parse_events
+from editstream.operators.ingest import accepted_events, lighten, parse_events
 from editstream.operators.validate import dead_letters, valid_rows, validate
-from editstream.schemas import EDIT_FIELDS
+from editstream.schemas import EDIT_FIELDS, PROGRESS_SCHEMA
 from editstream.session import sized_shuffles, staged
 from editstream.sources.tables import write_table
 
 
-def flat_validated(lines: DataFrame) -> DataFrame:
-    """Raw event lines to validated rows, without screening."""
-    records = clean_booleans(flatten(accepted_events(lines)), "minor", "patrolled")
-    return validate(records)
+def flat_validated(
+    lines: DataFrame, observation: Observation | None = None, strip: bool = False
+) -> DataFrame:
+    """Raw event lines to validated rows, without screening.
+
+    ``observation`` counts the lines and why some are dropped; with ``strip`` dead letters do not carry
+    the heavy payload of media events.
+    """
+    events = accepted_events(lines, observation)
+    events = lighten(events) if strip else events
+    return validate(clean_booleans(flatten(events), "minor", "patrolled"))
 
 
-def screened(lines: DataFrame, rules: list[dict] | None = None) -> DataFrame:
+def screened(
+    lines: DataFrame,
+    rules: list[dict] | None = None,
+    observation: Observation | None = None,
+    strip: bool = False,
+) -> DataFrame:
     """Raw event lines to validated rows with ``flag_types`` and ``text_length``.
 
     A malformed event has no text columns, so it raises no flag.
     """
     rules = rulebook.RULE_SETS[rulebook.LATEST_VERSION] if rules is None else rules
-    rows = with_flags(flat_validated(lines), rules)
+    rows = with_flags(flat_validated(lines, observation, strip), rules)
     no_flags = F.array().cast("array<string>")
     return rows.withColumn(
         "flag_types", F.when(F.col("malformed"), no_flags).otherwise(F.col("flag_types"))
@@ -87,32 +99,51 @@ def write_routes(
         write_table(rows, root, table, batch_id)
 
 
+def write_progress(
+    spark: SparkSession, root: str, batch_id: str | int, counts: dict[str, int], rows: DataFrame
+) -> None:
+    """Append what became of a batch: lines by fate, as counted on the way, and rows by table."""
+    routes = rows.agg(
+        F.count_if("is_valid").alias("valid"),
+        F.count_if(~F.col("is_valid")).alias("dead_letters"),
+        F.count_if(F.size("flag_types") > 0).alias("flagged"),
+    ).first()
+    told = {"at": datetime.now(timezone.utc), **counts, **routes.asDict()}
+    line = spark.createDataFrame([tuple(told[n] for n in PROGRESS_SCHEMA.names)], PROGRESS_SCHEMA)
+    write_table(line, root, "progress", batch_id)
+
+
 def route_batch(
     lines: DataFrame,
     root: str,
     batch_id: str | int,
     rules: str | RuleSet = rulebook.LATEST_VERSION,
+    strip: bool = False,
 ) -> None:
     """Route a bounded input of any size, under a published version or own rules.
 
     The screened rows are staged and each of the three sinks reads its columns of them, so
-    parsing and screening happen once.
+    parsing and screening happen once. Counts of the run go to the table ``progress``.
     """
-    chosen = rule_set(rules)
-    with sized_shuffles(lines), staged(screened(lines, chosen.rules), "screened") as rows:
+    chosen, seen = rule_set(rules), Observation()
+    found = screened(lines, chosen.rules, seen, strip)
+    with sized_shuffles(lines), staged(found, "screened") as rows:
         write_routes(rows, root, batch_id, chosen.version)
+        write_progress(lines.sparkSession, root, batch_id, seen.get, rows)
 
 
 def route_micro_batch(
     lines: DataFrame,
     root: str,
-    batch_id: int,
+    batch_id: int | str,
     rules: str | RuleSet = rulebook.LATEST_VERSION,
+    strip: bool = False,
 ) -> None:
-    """Route one micro-batch, whose size the trigger bounds; its rows are kept for three reads."""
-    chosen = rule_set(rules)
-    rows = screened(lines, chosen.rules).persist(StorageLevel.MEMORY_AND_DISK)
+    """Route one micro-batch, whose size the trigger bounds; its rows are kept for four reads."""
+    chosen, seen = rule_set(rules), Observation()
+    rows = screened(lines, chosen.rules, seen, strip).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_routes(rows, root, batch_id, chosen.version)
+        write_progress(lines.sparkSession, root, batch_id, seen.get, rows)
     finally:
         rows.unpersist()

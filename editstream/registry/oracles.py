@@ -678,10 +678,22 @@ ORACLES["migrated_table"] = f"{_E}\nSELECT {column_list()} FROM edits"
 
 # --- Streams over time, backlog ---------------------------------------------------------------------
 
+# The last windows are still open: the watermark is ten minutes behind the last event.
 for _unit in ("minute", "hour", "day"):
     ORACLES[f"streamed_{_unit}_counts"] = _E + f"""
 SELECT {ts_text(f"date_trunc('{_unit}', dt_server)")} AS window_start, count(*) AS event_count
-FROM edits GROUP BY 1"""
+FROM edits GROUP BY 1, date_trunc('{_unit}', dt_server)
+HAVING date_trunc('{_unit}', dt_server) + INTERVAL 1 {_unit}
+    <= (SELECT max(dt_server) FROM edits) - INTERVAL 10 MINUTE"""
+ORACLES["streamed_progress"] = f"""WITH {RAW},{scanned('raw', EDIT_TEXT, "fate IN ('valid', 'invalid')")},
+hits AS (SELECT count(*) AS flagged FROM scanned WHERE {flag_list(CONDITIONS['1.0.3'])} <> '')
+SELECT 3 AS batches, count(*) AS lines, count_if(reason = 'OK') AS accepted,
+       count_if(reason = 'DECODE_ERROR') AS not_decoded, count_if(reason = 'BAD_META') AS bad_meta,
+       count_if(reason = 'MISSING_META_FIELD') AS missing_meta_field,
+       count_if(reason = 'BAD_TYPE') AS bad_type, count_if(reason = 'CANARY') AS canaries,
+       count_if(fate = 'valid') AS valid, count_if(fate IN ('invalid', 'malformed')) AS dead_letters,
+       (SELECT flagged FROM hits) AS flagged
+FROM raw"""
 ORACLES["streamed_first_events"] = f"""WITH {RAW}
 SELECT DISTINCT evt_id FROM raw WHERE fate = 'valid'"""
 ORACLES["backlog_severity"] = f"""

@@ -651,6 +651,14 @@ def streamed_dead_letters(spark, sf_dir):
     )
 
 
+@query
+def streamed_progress(spark, sf_dir):
+    """What became of the lines of all micro-batches, by the job's own table."""
+    progress = tables.read_table(spark, _routed_stream(spark, sf_dir), "progress")
+    totals = [F.sum(name).alias(name) for name in progress.columns if name not in ("at", "batch_id")]
+    return progress.agg(F.count("*").alias("batches"), *totals)
+
+
 @query
 def streamed_flagged(spark, sf_dir):
     root = _routed_stream(spark, sf_dir)
@@ -670,31 +678,41 @@ def batch_routed_flagged(spark, sf_dir):
     )
 
 
-def _rates_query(name: str, width: str) -> None:
-    def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = scratch_dir(spark, name)
+def _edits_in_time(spark: SparkSession, sf_dir: str, files: int = 3) -> DataFrame:
+    """The edits as a stream of several files that land one after the other, in order of time."""
+    landed = scratch_dir(spark, "landed-edits")
+    edits = views.edits(spark, sf_dir)
+    first, last = edits.agg(F.min(F.unix_seconds("dt_server")), F.max(F.unix_seconds("dt_server"))).first()
+    part = F.floor((F.unix_seconds("dt_server") - first) * files / (last - first + 1))
+    for number in range(files):
+        edits.where(part == number).coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(EDIT_SCHEMA).option("maxFilesPerTrigger", 1)
+    return stream.parquet(landed)
 
-        def store(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
 
+def _rates_query(name: str, *widths: str) -> None:
+    def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = scratch_dir(spark, name)
         stream = (
-            rates.event_rates(views.stream_edits(spark, sf_dir), width)
-            .writeStream.outputMode("complete")
-            .foreachBatch(store)
+            rates.chained_rates(_edits_in_time(spark, sf_dir), widths)
+            .writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", out)
             .option("checkpointLocation", scratch_dir(spark, f"{name}-checkpoint"))
             .trigger(availableNow=True)
             .start()
         )
         stream.awaitTermination()
-        return spark.read.parquet(out).select("window_start", "event_count")
+        found = spark.read.schema("window_start timestamp, event_count long").parquet(out)
+        return found.select("window_start", "event_count")
 
     counts.__name__ = name
     query(counts)
 
 
 _rates_query("streamed_minute_counts", "1 minute")
-_rates_query("streamed_hour_counts", "1 hour")
-_rates_query("streamed_day_counts", "1 day")
+_rates_query("streamed_hour_counts", "1 minute", "1 hour")
+_rates_query("streamed_day_counts", "1 minute", "1 hour", "1 day")
 
 
 @query

@@ -100,6 +100,19 @@ CLEAN_SCHEMA = T.StructType(
     [T.StructField("event_id", T.StringType()), T.StructField("rule_version", T.StringType())]
 )
 
+PROGRESS_SCHEMA = T.StructType(
+    [
+        T.StructField("at", T.TimestampType()),
+        *[
+            T.StructField(name, T.LongType())
+            for name in (
+                "lines accepted not_decoded bad_meta missing_meta_field bad_type canaries "
+                "valid dead_letters flagged"
+            ).split()
+        ],
+    ]
+)
+
 ERROR_TYPE = T.StructType(
     [
         T.StructField("category", T.StringType()),

@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from editstream.functions.columns import parse_time
-from editstream.schemas import CLEAN_SCHEMA, DEAD_LETTER_SCHEMA, EDIT_SCHEMA, FLAGGED_SCHEMA
+from editstream.schemas import (
+    CLEAN_SCHEMA,
+    DEAD_LETTER_SCHEMA,
+    EDIT_SCHEMA,
+    FLAGGED_SCHEMA,
+    PROGRESS_SCHEMA,
+)
 from editstream.sources import snapshots
 
 SCHEMAS = {
@@ -23,6 +29,7 @@ SCHEMAS = {
     "dead_letter": DEAD_LETTER_SCHEMA,
     "flagged": FLAGGED_SCHEMA,
     "clean": CLEAN_SCHEMA,
+    "progress": PROGRESS_SCHEMA,
 }
 DAY_SOURCE = {
     "edits": "dt_server",
@@ -193,7 +200,7 @@ def read_table(
 
 
 def register_views(spark: SparkSession, root: str, name: str = "edits") -> list[str]:
-    """The tables as SQL views: ``<name>``, ``<name>_dead_letter``, ``_flagged``, ``_clean``."""
+    """The tables as SQL views: ``<name>``, ``<name>_dead_letter``, ``_flagged``, ``_clean``, ``_progress``."""
     views = []
     for table in SCHEMAS:
         view = name if table == "edits" else f"{name}_{table}"

@@ -42,6 +42,33 @@ def event_rates(edits: DataFrame, width: str = "1 hour", late: str = "10 minutes
     return windows.union(unreadable_times(edits).groupBy(start).agg(*counts))
 
 
+def chained_rates(
+    edits: DataFrame, widths: list[str] = ("1 minute", "1 hour"), late: str = "10 minutes"
+) -> DataFrame:
+    """Events and about how many distinct users in windows of the last width, made of windows of the
+    width before, and these of the one before them.
+
+    As a stream in append mode a window goes on to the next width, and out of the state, once the
+    watermark has passed it, so the state holds the open windows of each width and no more. Users
+    go from width to width as sketches that can be merged. Rows that come after their window are not
+    counted; the progress tells their number (``numRowsDroppedByWatermark``).
+    """
+    counted = (
+        with_event_time(edits, late)
+        .groupBy(F.window("event_time", widths[0]))
+        .agg(F.count("*").alias("event_count"), F.hll_sketch_agg("user").alias("users"))
+    )
+    for width in widths[1:]:
+        counted = counted.groupBy(F.window("window", width)).agg(
+            F.sum("event_count").alias("event_count"), F.hll_union_agg("users").alias("users")
+        )
+    return counted.select(
+        F.col("window.start").alias("window_start"),
+        "event_count",
+        F.hll_sketch_estimate("users").alias("about_unique_users"),
+    )
+
+
 def unreadable_times(edits: DataFrame) -> DataFrame:
     """The events that no window of :func:`event_rates` counts."""
     return edits.where(parse_time(F.col("dt_user")).isNull())
