@@ -6,45 +6,20 @@ them, edits are shuffled to the buckets; the index, which grows with every versi
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editstream.sources import snapshots, tables
+from editstream.sources.id_index import IdIndex
 
 INDEX = "finished"
 SOURCES = ("flagged", "clean")
 
 
-def open_index(spark: SparkSession, root: str, buckets: int | None = None) -> tuple[str, int]:
-    """The index as a table of the catalog, made if need be: its name and number of buckets.
-
-    ``buckets`` counts for a new index only, by default as many as shuffle partitions are set: take
-    enough for the ids that will once be there. The number is part of the folder's name.
-    """
-    found = snapshots.listed(spark, f"{root.rstrip('/')}/{INDEX}/buckets=*")
-    if found:
-        buckets = int(found[0].getPath().getName().split("=")[1])
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = f"{root.rstrip('/')}/{INDEX}/buckets={buckets}"
-    name = f"{INDEX}_{hashlib.md5(path.encode()).hexdigest()}"
-    if not spark.catalog.tableExists(name):
-        snapshots.make_folder(spark, path)
-        location = path.replace("'", "\\'")
-        spark.sql(
-            f"CREATE TABLE {name} (event_id STRING, rule_version STRING, run STRING) USING parquet "
-            "PARTITIONED BY (rule_version, run) "
-            f"CLUSTERED BY (event_id) SORTED BY (event_id) INTO {buckets} BUCKETS LOCATION '{location}'"
-        )
-        if found and spark.conf.get("spark.sql.catalogImplementation") == "hive":
-            spark.sql(f"MSCK REPAIR TABLE {name}")
-    return name, buckets
-
-
-def _coverage(root: str) -> str:
-    return f"{root.rstrip('/')}/{INDEX}/covered"
+def open_index(spark: SparkSession, root: str, buckets: int | None = None) -> IdIndex:
+    return IdIndex(spark, f"{root.rstrip('/')}/{INDEX}", buckets)
 
 
 def sync(spark: SparkSession, root: str, buckets: int | None = None) -> int:
@@ -54,31 +29,29 @@ def sync(spark: SparkSession, root: str, buckets: int | None = None) -> int:
     repeated, and an id that is there twice does no harm. A compacted folder holds nothing new if
     all folders merged in it are known. Returns the number of folders.
     """
-    name, buckets = open_index(spark, root, buckets)
-    known = {f.path for f in snapshots.folders(spark, _coverage(root))}
-    added, ids = [], []
+    index, covered = open_index(spark, root, buckets), f"{root.rstrip('/')}/{INDEX}/covered"
+    known = {f.path for f in snapshots.folders(spark, covered)}
+    added = []
+    ids = spark.createDataFrame([], "event_id string, rule_version string")
     for table in SOURCES:
         path = tables.table_path(root, table)
         new = [f for f in snapshots.folders(spark, path) if not f.known_in(known, table)]
         if new:
             added += [f._replace(path=f"{table}/{f.path}", merged=()) for f in new]
-            ids.append(tables.read_folders(spark, root, table, new).select("event_id", "rule_version"))
-    if not added:
-        return 0
-    rows = ids[0] if len(ids) == 1 else ids[0].unionByName(ids[1])
-    dealt = rows.withColumn("run", F.lit(uuid.uuid4().hex)).repartition(buckets, "event_id")
-    dealt.write.insertInto(name)
-    snapshots.commit(spark, _coverage(root), lambda now: now + added)
+            rows = tables.read_folders(spark, root, table, new)
+            ids = ids.unionByName(rows.select("event_id", "rule_version"))
+    if added:
+        index.add(ids.toDF("id", "label"), uuid.uuid4().hex)
+        snapshots.commit(spark, covered, lambda now: now + added)
     return len(added)
 
 
 def screened_ids(spark: SparkSession, root: str, version: str) -> DataFrame:
-    """The ids that were screened under the version, as far as the index is synced."""
-    name, _ = open_index(spark, root)
-    return spark.table(name).where(F.col("rule_version") == version).select("event_id")
+    """``id``: what was screened under the version, as far as the index is synced."""
+    return open_index(spark, root).rows().where(F.col("label") == version).select("id")
 
 
 def pending_ids(edits: DataFrame, done: DataFrame) -> DataFrame:
     """Ids of edits that are not in the index, repeated ones as often as they are there."""
     ids = edits.select("evt_id")
-    return ids.join(done, ids["evt_id"] == done["event_id"], "left_anti")
+    return ids.join(done, ids["evt_id"] == done["id"], "left_anti")

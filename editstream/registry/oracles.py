@@ -696,6 +696,7 @@ SELECT 3 AS batches, count(*) AS lines, count_if(reason = 'OK') AS accepted,
 FROM raw"""
 ORACLES["streamed_first_events"] = f"""WITH {RAW}
 SELECT DISTINCT evt_id FROM raw WHERE fate = 'valid'"""
+ORACLES["streamed_unique_events"] = ORACLES["streamed_first_events"]
 ORACLES["backlog_severity"] = f"""
 WITH moves AS (
   SELECT event_type AS source, ts AS moved_at, 1 AS arrived, 0 AS processed FROM events

@@ -18,7 +18,7 @@ from editstream.schemas import EDIT_FIELDS, EDIT_SCHEMA
 from editstream.session import configure, scratch_dir
 from editstream.sources import event_lines, rule_files, snapshots, tables, views
 from editstream.streaming import ingest as stream_ingest
-from editstream.streaming import rates
+from editstream.streaming import dedup, rates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -733,6 +733,23 @@ def streamed_first_events(spark, sf_dir):
     return spark.read.schema("evt_id string").parquet(out)
 
 
+@query
+def streamed_unique_events(spark, sf_dir):
+    """The same against an index of ids, which knows copies of any age; the rows are a stored table."""
+    root = scratch_dir(spark, "unique")
+    valid = validate.valid_rows(routing.flat_validated(_stream_of_files(spark, sf_dir)))
+    stream = dedup.start_dedup(
+        valid,
+        f"{root}/seen",
+        scratch_dir(spark, "unique-checkpoint"),
+        "unique",
+        lambda rows, run: tables.write_table(rows, root, "edits", run),
+        trigger={"availableNow": True},
+    )
+    stream.awaitTermination()
+    return tables.read_table(spark, root, "edits").select("evt_id")
+
+
 @query
 def backlog_severity(spark, sf_dir):
     """Events wait as many minutes as their value says; the thresholds suit the test data."""
