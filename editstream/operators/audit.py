@@ -48,9 +48,12 @@ def repeated_content(edits: DataFrame, columns: list[str] = CONTENT_KEY) -> Data
     Grouped by a digest instead of the text; a group is counted, never collected. The members
     of the groups come from :func:`repeated_content_members`.
     """
+    return _content_groups(edits.select("evt_id", content_digest(columns).alias("content")))
+
+
+def _content_groups(digests: DataFrame) -> DataFrame:
     return (
-        edits.select("evt_id", content_digest(columns).alias("content"))
-        .groupBy("content")
+        digests.groupBy("content")
         .agg(
             F.count("*").alias("copies"),
             F.min("evt_id").alias("first_id"),
@@ -61,9 +64,12 @@ def repeated_content(edits: DataFrame, columns: list[str] = CONTENT_KEY) -> Data
 
 
 def repeated_content_members(edits: DataFrame, columns: list[str] = CONTENT_KEY) -> DataFrame:
-    """Every row of a repeated group: ``content``, ``copies`` and ``evt_id``."""
-    rows = edits.select("evt_id", content_digest(columns).alias("content"))
-    groups = repeated_content(edits, columns).select("content", "copies")
+    """Every row of a repeated group: ``content``, ``copies`` and ``evt_id``.
+
+    Ids and digests are staged, so the texts are read once.
+    """
+    rows = kept(edits.select("evt_id", content_digest(columns).alias("content")), "contents")
+    groups = _content_groups(rows).select("content", "copies")
     return join_group_sizes(rows, groups, "content", "copies")
 
 

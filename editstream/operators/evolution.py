@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from editstream.functions import variants as V
 from editstream.schemas import DECLARED, REQUIRED_COLUMNS
+from editstream.session import kept
 
 
 def missing_columns(df: DataFrame, target: T.StructType) -> list[T.StructField]:
@@ -68,14 +69,15 @@ def compatibility_report(records: DataFrame) -> DataFrame:
     seen) or ``ok``. ``breaking`` says whether readers of the declared schema would notice.
     """
     keyed = records.select("event").where(V.is_object(V.kind(F.col("event"))))
-    entries = keyed.select(
-        F.explode(F.col("event").cast("map<string,variant>")).alias("field", "content")
-    )
-    observed = (
-        entries.select("field", V.plain_kind(V.kind(F.col("content"))).alias("kind"))
-        .groupBy("field", "kind")
-        .agg(F.count("*").alias("values"))
+    # A member without a name stands for the record, so that records are counted in the same pass.
+    record = F.struct(F.lit(None).cast("string").alias("key"), F.col("event").alias("value"))
+    members = F.map_entries(F.col("event").cast("map<string,variant>"))
+    entries = keyed.select(F.inline(F.concat(F.array(record), members))).toDF("field", "content")
+    kind = F.when(F.col("field").isNotNull(), V.plain_kind(V.kind(F.col("content"))))
+    counted = kept(
+        entries.groupBy("field", kind.alias("kind")).agg(F.count("*").alias("values")), "field-kinds"
     )
+    observed = counted.where("field is not null")
     declared = keyed.sparkSession.createDataFrame(
         [
             (name, kind, V.ACCEPTED_KINDS[kind], name in REQUIRED_COLUMNS)
@@ -94,7 +96,8 @@ def compatibility_report(records: DataFrame) -> DataFrame:
             F.coalesce(F.sum(F.when(unfit, F.col("values"))), F.lit(0)).alias("unfit_values"),
         )
     )
-    total = keyed.agg(F.count("*").alias("n")).select("n").scalar()
+    records_seen = counted.where("field is null").agg(F.coalesce(F.sum("values"), F.lit(0)).alias("n"))
+    total = records_seen.select("n").scalar()
     status = (
         F.when(F.col("declared").isNull(), "added")
         .when(F.col("values") == 0, "removed")

@@ -101,6 +101,11 @@ def version_totals(flagged: DataFrame, clean: DataFrame) -> DataFrame:
     marked = flagged.select("rule_version", F.lit(True).alias("is_flagged")).unionByName(
         clean.select("rule_version", F.lit(False).alias("is_flagged"))
     )
+    return marked_totals(marked)
+
+
+def marked_totals(marked: DataFrame) -> DataFrame:
+    """The same from one table of ``rule_version, is_flagged``."""
     return (
         marked.where(F.col("rule_version").rlike(rulebook.VERSION_PATTERN))
         .groupBy("rule_version")

@@ -279,14 +279,15 @@ SELECT evt_id, domain FROM scanned WHERE {EMOJI_FIXED}"""
 for _version in VERSIONS:
     ORACLES["flags_" + _version.replace(".", "_")] = f"""{edit_scan(CONDITIONS[_version])}
 SELECT evt_id, flags AS flag_types FROM flagged"""
-ORACLES["custom_rule_flags"] = f"""{edit_scan({
+_OWN_RULES = {
     "prompt_refusal": "contains(lt, 'as an ai language model')",
     "markdown_syntax": f"regexp_matches(t, {text('(?m)' + R.MARKDOWN_PATTERN)})",
     "excessive_em_dashes": DASHES,
     "spam_indicators":
         "(contains(lt, 'buy now') OR contains(lt, 'joined') OR contains(lt, 'guaranteed results'))",
     "self_promotion": "(contains(lt, 'visit my website') OR contains(lt, 'plan '))",
-})}
+}
+ORACLES["custom_rule_flags"] = f"""{edit_scan(_OWN_RULES)}
 SELECT evt_id, flags AS flag_types FROM flagged"""
 
 _ALL_FLAGS = sorted({flag for c in CONDITIONS.values() for flag in c})
@@ -325,6 +326,19 @@ SELECT coalesce(evt_id, '') AS event_id, coalesce(title, '') AS title,
 FROM (SELECT *, {flag_list(CONDITIONS['1.0.3'])} AS flags FROM scanned) WHERE flags <> ''"""
 for _name in ("flagged_raw_events", "streamed_flagged", "batch_routed_flagged"):
     ORACLES[_name] = _RAW_FLAGGED
+ORACLES["custom_rules_routed"] = f"""WITH {RAW},{scanned('raw', EDIT_TEXT, "fate IN ('valid', 'invalid')")}
+SELECT coalesce(evt_id, '') AS event_id, 'own-1' AS rule_version, flags AS flag_types
+FROM (SELECT *, {flag_list(_OWN_RULES)} AS flags FROM scanned) WHERE flags <> ''"""
+ORACLES["routed_without_detection"] = f"""WITH {RAW}
+SELECT 'edits' AS route, count(*) AS rows FROM raw WHERE fate = 'valid'
+UNION ALL SELECT 'dead_letter', count(*) FROM raw WHERE fate IN ('invalid', 'malformed')
+UNION ALL SELECT 'flagged', 0"""
+ORACLES["flagged_json_members"] = f"""{FLAGGED}
+SELECT evt_id AS event_id, array_to_string(list_sort(string_split(flags, '|')), '|') AS ai_flags,
+       {_SAMPLE} AS comment, title, length(t) AS text_length,
+       length(flags) - length(replace(flags, '|', '')) + 1 AS total_flags, 4 AS members,
+       flags AS flag_types, {ts_text('dt_server')} AS detected_at, '1.0.3' AS rule_version
+FROM flagged"""
 ORACLES["flagged_json_columns"] = f"""{FLAGGED}
 SELECT evt_id AS event_id,
        '{{"' || replace(flags, '|', '":true,"') || '":true}}' AS ai_flags FROM flagged"""
@@ -388,6 +402,12 @@ SELECT {column_list(**{name: _dead_column(name) for name in EDIT_FIELDS})},
 FROM raw WHERE fate IN ('malformed', 'invalid')"""
 ORACLES["dead_letters"] = _DEAD
 ORACLES["streamed_dead_letters"] = _DEAD
+ORACLES["dead_letter_details"] = f"SELECT *, category AS _error_category FROM ({ORACLES['validation_errors']})"
+ORACLES["dead_letter_payloads"] = f"""WITH {RAW}
+SELECT {_FLAT_COLUMNS} FROM raw WHERE fate = 'invalid'"""
+ORACLES["malformed_payloads"] = f"""WITH {RAW}
+SELECT evt_id, title, 'OTHER' AS _error_category, '_root' AS field, true AS whole
+FROM raw WHERE fate = 'malformed'"""
 
 _FLAT_FAULTS = """(VALUES
   (0, 'MISSING_REQUIRED_FIELD', 'evt_id', 'STRING', 'None', 'Required field evt_id is missing'),
@@ -670,6 +690,10 @@ SELECT {column_list()} FROM edits WHERE CAST(dt_server AS DATE) = DATE '2024-01-
 ORACLES["compacted_edits"] = ORACLES["stored_edits_by_day"]
 for _name in ("events_per_hour", "events_per_day", "events_per_minute"):
     ORACLES[f"stored_{_name}"] = ORACLES[_name]
+ORACLES["users_by_day_sketches"] = _E + """
+SELECT strftime(dt_server, '%Y-%m-%d') AS user_day, domain, count(*) AS events,
+       count_if(type = 'edit') AS edits, true AS near
+FROM edits GROUP BY 1, 2"""
 ORACLES["table_versions"] = f"""{_E}
 SELECT CAST(v AS BIGINT) AS version, type, count(*) AS rows
 FROM edits, (SELECT unnest([0, 1, 2, 3, 4, 4]) AS v, unnest([0, 1, 2, 2, 2, 3]) AS part)

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import tempfile
 from collections.abc import Callable
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from editstream.functions import rulebook
 from editstream.functions import variants as V
 from editstream.functions.columns import sanitize_text
 from editstream.operators import audit, detect, evolution, flatten, ingest, quality, validate
-from editstream.plans import analytics, by_rule, finished, rescan, routing
+from editstream.plans import analytics, by_rule, finished, rescan, routing, sketches
 from editstream.registry.plain import plain
-from editstream.schemas import EDIT_FIELDS, EDIT_SCHEMA
+from editstream.schemas import EDIT_FIELDS, EDIT_SCHEMA, ERROR_TYPE
 from editstream.session import configure, scratch_dir
 from editstream.sources import event_lines, rule_files, snapshots, tables, views
 from editstream.streaming import ingest as stream_ingest
@@ -248,6 +252,54 @@ def flagged_json_columns(spark, sf_dir):
     return tables.json_columns(_flagged(spark, sf_dir)).select("event_id", "ai_flags")
 
 
+@query
+def flagged_json_members(spark, sf_dir):
+    """All nested columns of flagged records as JSON text, and every member read back from it."""
+    rows = tables.json_columns(_flagged(spark, sf_dir))
+    sample, told = F.try_parse_json("content_sample"), F.try_parse_json("detection_metadata")
+    flags = F.map_keys(F.try_parse_json("ai_flags").cast("map<string,variant>"))
+    return rows.select(
+        "event_id",
+        F.array_sort(flags).alias("ai_flags"),
+        V.as_text(V.child(sample, "$.comment")).alias("comment"),
+        V.as_text(V.child(sample, "$.title")).alias("title"),
+        V.as_long(V.child(sample, "$.text_length")).alias("text_length"),
+        V.as_long(V.child(told, "$.total_flags")).alias("total_flags"),
+        F.size(F.map_keys(told.cast("map<string,variant>"))).alias("members"),
+        F.from_json(F.get_json_object("detection_metadata", "$.flag_types"), "array<string>").alias("flag_types"),
+        F.try_to_timestamp(V.as_text(V.child(told, "$.detected_at"))).alias("detected_at"),
+        V.as_text(V.child(told, "$.rule_version")).alias("rule_version"),
+    )
+
+
+@query
+def custom_rules_routed(spark, sf_dir):
+    """Own rules from a file, through the whole job: which rows are flagged with what."""
+    folder = Path(tempfile.mkdtemp(prefix="rules-"))  # read by the driver alone
+    (folder / "rules.json").write_text(json.dumps({"version": "own-1", "patterns": CUSTOM_CATEGORIES}))
+    own = routing.RuleSet(*rule_files.load_rules(str(folder / "rules.json")))
+    root = scratch_dir(spark, "own-rules")
+    configure(spark)
+    routing.route_batch(views.raw_lines(spark, sf_dir), root, "load", own)
+    rows = tables.read_table(spark, root, "flagged")
+    return rows.select("event_id", "rule_version", "detection_metadata.flag_types")
+
+
+@query
+def routed_without_detection(spark, sf_dir):
+    """A rule file that is not there turns detection off; rows are routed all the same."""
+    own = routing.RuleSet(*rule_files.load_rules("/no/such/rules.json"))
+    root = scratch_dir(spark, "no-rules")
+    configure(spark)
+    tables.ensure_tables(spark, root)
+    routing.route_batch(views.raw_lines(spark, sf_dir), root, "load", own)
+    rows = [
+        tables.read_table(spark, root, name).agg(F.count("*").alias("rows")).select(F.lit(name).alias("route"), "rows")
+        for name in ("edits", "dead_letter", "flagged")
+    ]
+    return reduce(DataFrame.unionAll, rows)
+
+
 @query
 def document_flags(spark, sf_dir):
     rows = _text_table(spark, sf_dir, "documents", "text")
@@ -294,6 +346,40 @@ def dead_letters(spark, sf_dir):
     )
 
 
+@query
+def dead_letter_details(spark, sf_dir):
+    """The error lists of dead letters, read back from their JSON, with what goes with each letter."""
+    rows = _dead(spark, sf_dir).where(F.get_json_object("_original_payload", "$.meta").isNull())
+    errors = rows.select(
+        "_error_category",
+        F.inline(F.from_json("_error_details", T.ArrayType(ERROR_TYPE))),
+    )
+    return errors.groupBy(errors.columns).agg(F.count("*").alias("errors"))
+
+
+@query
+def dead_letter_payloads(spark, sf_dir):
+    """The records of dead letters, read back from their payload: values keep their JSON type there."""
+    payload = F.try_parse_json("_original_payload")
+    rows = _dead(spark, sf_dir).select(payload.alias("record"))
+    flat = rows.where(V.child(F.col("record"), "$.meta").isNull())
+    return flat.select([V.as_text(V.child(F.col("record"), f"$.{n}")).alias(n) for n in EDIT_FIELDS])
+
+
+@query
+def malformed_payloads(spark, sf_dir):
+    """Dead letters of malformed events carry the raw line, and name it in their details."""
+    record = F.try_parse_json("_original_payload")
+    rows = _dead(spark, sf_dir).where(V.child(record, "$.meta").isNotNull())
+    return rows.select(
+        V.as_text(V.child(record, "$.meta.id")).alias("evt_id"),
+        V.as_text(V.child(record, "$.title")).alias("title"),
+        "_error_category",
+        F.get_json_object("_error_details", "$[0].field").alias("field"),
+        (F.get_json_object("_error_details", "$[0].actual_value") == F.col("_original_payload")).alias("whole"),
+    )
+
+
 @query
 def flat_record_errors(spark, sf_dir):
     validated = routing.validated_records(views.flat_lines(spark, sf_dir))
@@ -475,12 +561,10 @@ def flag_correlation(spark, sf_dir):
 @query
 def version_totals(spark, sf_dir):
     edits = views.edits(spark, sf_dir)
-    rows = detect.with_version_flags(edits, rulebook.RULE_SETS).select(
-        "evt_id", F.inline("flags_by_version")
+    rows = detect.with_version_flags(edits, rulebook.RULE_SETS).select(F.inline("flags_by_version"))
+    return rescan.marked_totals(
+        rows.select("rule_version", (F.size("flag_types") > 0).alias("is_flagged"))
     )
-    flagged = rows.where(F.size("flag_types") > 0).select("rule_version")
-    clean = rows.where(F.size("flag_types") == 0).select("rule_version")
-    return rescan.version_totals(flagged, clean)
 
 
 # --- Joins and rescans ---------------------------------------------------------------------------
@@ -570,6 +654,26 @@ _stored_query(
 )
 
 
+@query
+def users_by_day_sketches(spark, sf_dir):
+    """Events and edits per day and domain from stored sketches, after a batch is written again; the
+    estimate of users against the exact count."""
+    root = scratch_dir(spark, "sketches")
+    edits = views.edits(spark, sf_dir)
+    part = F.pmod(F.col("evt_id").cast("long"), F.lit(2))
+    tables.write_table(edits.where(part == 0), root, "edits", "a")
+    tables.write_table(edits.where(part == 0), root, "edits", "b")
+    sketches.sync(spark, root)
+    tables.write_table(edits.where(part == 1), root, "edits", "b")
+    sketches.sync(spark, root)
+    found = sketches.about_users(sketches.stored_sketches(spark, root), "user_day", "domain")
+    exact = analytics.daily_summary(tables.read_table(spark, root, "edits"))
+    near = F.abs(F.col("about_unique_users") - F.col("unique_users")) <= 0.05 * F.col("unique_users")
+    return found.join(
+        exact.select(F.col("date").alias("user_day"), "domain", "unique_users"), ["user_day", "domain"]
+    ).select("user_day", "domain", "events", "edits", near.alias("near"))
+
+
 @query
 def table_versions(spark, sf_dir):
     """Rows by type in every version of a table: three writes, a compaction, a batch written again."""
