@@ -176,33 +176,110 @@ def write_archives(
     )
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Fields (names in lower case) and block of every record of a WARC file."""
+FEED_BYTES = 65_536
+BATCH_BYTES = 8_000_000
+GZIP = b"\x1f\x8b\x08"
+
+
+def inflated(data: bytes) -> Iterator[bytes | None]:
+    """What a file holds, piece by piece; a file that is not gzipped as it is.
+
+    A gzip member, of which archives may have one per record, costs its own size and no more. None
+    stands for a member that is cut or damaged; reading goes on at the next that can be read.
+    """
+    view = memoryview(data)
+    if not data.startswith(b"\x1f\x8b"):
+        yield from (bytes(view[i : i + BATCH_BYTES]) for i in range(0, len(data), BATCH_BYTES))
+        return
     at = 0
     while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at byte {at}")
-        fields = {}
-        for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
+        begin, member = at, zlib.decompressobj(31)
+        try:
+            while at < len(data) and not member.eof:
+                part = view[at : at + FEED_BYTES]
+                out = member.decompress(part)
+                at += len(part) - len(member.unused_data)
+                if out:
+                    yield out
+            broken = not member.eof
+        except zlib.error:
+            broken = True
+        if broken:
+            yield None
+            at = data.find(GZIP, max(begin + 1, at - FEED_BYTES))
+            at = len(data) if at < 0 else at
+
+
+def parse(pieces: Iterator[bytes | None]) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """Fields (names in lower case) and block of every record of a WARC file.
+
+    The block is None if the record is cut or malformed; the next one is then looked for behind an
+    empty line. No more than a record and a piece are held.
+    """
+    held, over, torn = bytearray(), False, False
+
+    def more() -> bool:
+        """Read on; False at the end, or where something is missing."""
+        nonlocal over, torn
+        piece = next(pieces, b"")
+        if piece is None:
+            torn = True
+        elif not piece:
+            over = True
+        else:
+            held.extend(piece)
+        return bool(piece)
+
+    def lost() -> None:
+        """Go to the next record."""
+        nonlocal torn
+        while (found := held.find(END.encode() + b"WARC/", 1)) < 0:
+            del held[: max(len(held) - 8, 0)]
+            if torn or not more():
+                # What follows a tear begins with a record, as a member does.
+                held.clear()
+                torn = False
+                return
+        del held[: found + len(END)]
+
+    while held or not over:
+        while held[:1] in (b"\r", b"\n"):
+            del held[:1]
+        if len(held) < 5 and not torn and not over and more():
+            continue
+        if not held and (over or torn):
+            if torn:
+                torn = False
+                yield {}, None
+            continue
+        if not held.startswith(b"WARC/"):
+            yield {}, None
+            lost()
+            continue
+        while (end := held.find(END.encode())) < 0 and not torn and more():
+            pass
+        fields: dict[str, str] = {}
+        for line in held[: end if end >= 0 else len(held)].decode("utf-8", "replace").split("\r\n")[1:]:
             name, _, value = line.partition(":")
             fields[name.strip().lower()] = value.strip()
-        begin = end + 4
-        at = begin + int(fields["content-length"])
-        yield fields, data[begin:at]
-        at += 4
-
-
-def unzipped(data: bytes) -> bytes:
-    """All gzip members of a file; a file that is not gzipped as it is."""
-    if not data.startswith(b"\x1f\x8b"):
-        return data
-    parts = []
-    while data:
-        member = zlib.decompressobj(31)
-        parts.append(member.decompress(data))
-        data = member.unused_data
-    return b"".join(parts)
+        length = fields.get("content-length", "")
+        if end < 0 or not (length.isascii() and length.isdigit()):
+            yield fields, None
+            lost()
+            continue
+        begin, size = end + len(END), int(length)
+        while len(held) < begin + size and not torn and more():
+            pass
+        if len(held) < begin + size:
+            yield fields, None
+            lost()
+            continue
+        yield fields, bytes(held[begin : begin + size])
+        del held[: begin + size]
+
+
+def records_in(data: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    return parse(inflated(data))
 
 
 HEADS = "page_id string, uri string, record_type string, digest string, refers_to string"
@@ -221,13 +298,14 @@ def head(fields: dict[str, str]) -> list[str | None]:
     ]
 
 
-def decoded(heads: list[str | None], block: bytes, complete: bool) -> list[object]:
+def decoded(heads: list[str | None], block: bytes | None, complete: bool) -> list[object]:
     """A record of ``RECORDS``; what is cut, malformed or unlike its digest is not complete."""
+    complete = complete and block is not None
     if heads[2] == "revisit":
         return [*heads, None, complete]
     try:
         payload = payload_of(block) if complete else None
-    except ValueError:
+    except (ValueError, zlib.error):
         payload = None
     if payload is not None and heads[3] not in (None, hashlib.sha256(payload).hexdigest()):
         payload = None
@@ -255,41 +333,61 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     they continue (``WARC-Segment-Origin-ID``), in the order of their numbers; they make a record if
     the numbers run from 1 without a gap and the total length of the last one is that of the blocks
     together. Segments that came twice count once. A record that lacks a segment, is malformed or
-    does not fit its payload digest has a null payload and ``complete`` false. A revisit has no
-    payload of its own.
+    does not fit its payload digest has a null payload and ``complete`` false; so has one row for what
+    is no record at all, and for a gzip member that is cut or damaged. Reading goes on behind it.
+    A revisit has no payload of its own. Files are inflated piece by piece.
     """
     python_path(spark)
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     )
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def in_batches(rows: Iterator[list], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for row in rows:
+            out.append(row)
+            size += sum(len(x) for x in row if isinstance(x, bytes))
+            if size > BATCH_BYTES:
+                yield batch_of(out, schema)
+                out, size = [], 0
+        yield batch_of(out, schema)
+
+    def number_of(fields: dict[str, str]) -> int | None:
+        """The number of a segment, None for records in one piece."""
+        number = fields.get("warc-segment-number")
+        return int(number) if number and number.isascii() and number.isdigit() else None
+
+    def all_records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, str], bytes | None]]:
         for batch in batches:
             for content in batch.column(0):
-                rows = [
-                    decoded(head(fields), block, True)
-                    for fields, block in parse(unzipped(content.as_py()))
-                    if "warc-segment-number" not in fields and fields["warc-type"] in ("response", "revisit")
-                ]
-                yield batch_of(rows, RECORD_SCHEMA)
+                yield from records_in(content.as_py())
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (
+            decoded(head(fields), block, True)
+            for fields, block in all_records(batches)
+            if number_of(fields) is None
+            and (block is None or fields.get("warc-type") in ("response", "revisit", None))
+        )
+        yield from in_batches(rows, RECORD_SCHEMA)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                rows = []
-                for fields, block in parse(unzipped(content.as_py())):
-                    if "warc-segment-number" in fields:
-                        total = fields.get("warc-segment-total-length")
-                        origin = fields.get("warc-segment-origin-id", fields["warc-record-id"])
-                        number = int(fields["warc-segment-number"])
-                        rows.append(
-                            [origin, number, total and int(total), *head(fields), block]
-                        )
-                yield batch_of(rows, SEGMENT_SCHEMA)
+        def rows() -> Iterator[list]:
+            for fields, block in all_records(batches):
+                number = number_of(fields)
+                if number is not None:
+                    total = fields.get("warc-segment-total-length", "")
+                    origin = fields.get("warc-segment-origin-id", fields.get("warc-record-id"))
+                    yield [origin, number, int(total) if total.isdigit() else None, *head(fields), block]
+
+        yield from in_batches(rows(), SEGMENT_SCHEMA)
 
     def joined(rows: list[list]) -> list[object]:
         """``rows``: the segments of one record by number."""
+        rows = sorted(rows, key=lambda r: (r[1], r[-1] is None))  # a cut copy comes after a whole one
         once = [r for r, before in zip(rows, [[None, None], *rows]) if r[1] != before[1]]
+        if any(r[-1] is None for r in once):
+            return decoded(once[0][3:8], None, False)
         block = b"".join(r[-1] for r in once)
         numbers = [r[1] for r in once] == list(range(1, len(once) + 1))
         return decoded(once[0][3:8], block, numbers and once[-1][2] == len(block))
