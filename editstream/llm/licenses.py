@@ -74,6 +74,33 @@ COMMA_RULES = [
     ("GPL-2.0-or-later", [12, len(SENTENCES) + 1]),
 ]
 
+# More notices, as their licences publish them; places are counted on from the lists above.
+_NEXT = len(SENTENCES) + len(COMMA_FORMS)
+MORE_SENTENCES = [
+    "This library is free software",
+    "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "either version 2.1 of the License, or (at your option) any later version",
+    "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version",
+    "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+]
+MORE_RULES = [
+    ("LGPL-2.1-or-later", [_NEXT, _NEXT + 1, _NEXT + 2]),
+    ("LGPL-2.1-or-later", [_NEXT, _NEXT + 3]),
+    ("LGPL-3.0-or-later", [_NEXT, _NEXT + 1, 14]),
+    ("LGPL-3.0-or-later", [_NEXT, _NEXT + 4]),
+    ("AGPL-3.0-or-later", [12, _NEXT + 5, 14]),
+    ("AGPL-3.0-or-later", [12, _NEXT + 6]),
+    ("EPL-2.0", [_NEXT + 7]),
+]
+
+ALL_SENTENCES = SENTENCES + COMMA_FORMS + MORE_SENTENCES
+#: The rules in the order in which they are tried: the longest first, equally long ones as listed.
+ORDERED_RULES = sorted(RULES + COMMA_RULES + MORE_RULES, key=lambda rule: -len(rule[1]))
+
 # A sentence ends at a mark before a blank or the text's end; lines end it in the second reading.
 ENDS = r"[.!?;:]+(?=\s|$)"
 LINES = r"[.!?;:]+(?=\s|$)|\n"
@@ -86,7 +113,8 @@ def normalised(sentence: Column) -> Column:
 
 
 def sequence(ids: list[int]) -> str:
-    return "," + ",".join(map(str, ids)) + ","
+    """Every identifier between commas of its own, so that one can be taken out without its neighbours."""
+    return "".join(f",{i}," for i in ids)
 
 
 def scan_licenses(
@@ -95,19 +123,20 @@ def scan_licenses(
     """The licences that a document's known sentences add up to.
 
     Sentences, lower-cased and with all but letters and digits as single blanks, are looked up in the
-    list of known ones; a rule holds if its identifiers stand next to each other, in its order, in the
-    document's sequence of known sentences (other sentences may lie between). Texts are read twice:
-    with line ends as blanks, and with line ends as ends of sentences, for lists and headings. The
-    longer of two rules that both hold does not exclude the shorter.
+    list of known ones. Rules are tried in their order, the longest first: a rule holds if its
+    identifiers stand next to each other, in its order, in what is left of the document's sequence of
+    known sentences (other sentences may lie between), and takes them out of it, wherever they stand
+    so. Texts are read twice: with line ends as blanks, and with line ends as ends of sentences, for
+    lists and headings; a licence counts if either reading has it.
 
     Returns ``doc, print, n_sentences`` (known ones in the reading that has more) and ``licenses``
     (sorted, distinct), a row per document id and text; null and empty texts have none.
     """
     spark = docs.sparkSession
     known = spark.createDataFrame(
-        [(i, s) for i, s in enumerate(SENTENCES + COMMA_FORMS)], "id int, sentence string"
+        [(i, s) for i, s in enumerate(ALL_SENTENCES)], "id int, sentence string"
     ).select("id", normalised(F.col("sentence")).alias("sentence"))
-    shortest = min(len(re.sub("[^a-z0-9]+", " ", s.lower()).strip()) for s in SENTENCES)
+    shortest = min(len(re.sub("[^a-z0-9]+", " ", s.lower()).strip()) for s in ALL_SENTENCES)
     text = F.coalesce(docs[text_col], F.lit(""))
     keys = docs.select(docs[id_col].alias("doc"), F.xxhash64(text).alias("print"))
     plain = F.regexp_replace(text, VERSION, "$1 ")
@@ -127,7 +156,7 @@ def scan_licenses(
     rules = F.array(
         *[
             F.struct(F.lit(name).alias("name"), F.lit(sequence(ids)).alias("ids"))
-            for name, ids in RULES + COMMA_RULES
+            for name, ids in ORDERED_RULES
         ]
     )
     read = (
@@ -139,13 +168,23 @@ def scan_licenses(
             "doc",
             "print",
             F.size("found").alias("n"),
-            F.concat(
-                F.lit(","), F.array_join(F.transform("found", lambda x: x["id"].cast("string")), ","), F.lit(",")
+            F.array_join(
+                F.transform("found", lambda x: F.concat(F.lit(","), x["id"].cast("string"), F.lit(","))), ""
             ).alias("ids"),
         )
     )
-    held = F.transform(
-        F.filter(rules, lambda r: F.contains(F.col("ids"), r["ids"])), lambda r: r["name"]
+    none = F.array().cast("array<string>")
+    held = F.aggregate(
+        rules,
+        F.struct(F.col("ids").alias("left"), none.alias("names")),
+        lambda seen, r: F.when(
+            F.contains(seen["left"], r["ids"]),
+            F.struct(
+                F.replace(seen["left"], r["ids"], F.lit("")).alias("left"),
+                F.array_append(seen["names"], r["name"]).alias("names"),
+            ),
+        ).otherwise(seen),
+        lambda seen: seen["names"],
     )
     scanned = (
         read.select("doc", "print", "n", held.alias("held"))
@@ -174,27 +213,37 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    known = ", ".join("({}, '{}')".format(i, s.replace("'", "''")) for i, s in enumerate(SENTENCES))
-    rules = ", ".join(f"('{name}', '{sequence(ids)}')" for name, ids in RULES)
+    known = ", ".join("({}, '{}')".format(i, s.replace("'", "''")) for i, s in enumerate(ALL_SENTENCES))
     norm = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
     # No look-ahead in this SQL's patterns: a mark takes its blank along, which is trimmed anyway.
     ends, lines = r"[.!?;:]+(\s|$)", r"[.!?;:]+(\s|$)|\n"
+    version = r"(?i)\b(v|ver|vers)\.([^\S\n]*\n?[^\S\n]*[0-9])"
+    tried, steps = "left0", []
+    for number, (name, ids) in enumerate(ORDERED_RULES, 1):
+        rule = sequence(ids)
+        steps.append(
+            f"left{number} AS (SELECT doc_id, reading, n, replace(ids, '{rule}', '') AS ids, CASE WHEN "
+            f"contains(ids, '{rule}') THEN list_append(names, '{name}') ELSE names END AS names FROM {tried})"
+        )
+        tried = f"left{number}"
     return rf"""
 WITH known AS (SELECT id, {norm.format('s')} AS s FROM (VALUES {known}) t(id, s)),
-rules(name, ids) AS (VALUES {rules}),
+texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{version}', '\1 \2', 'g') AS t FROM documents),
 units AS (
   SELECT doc_id, reading, unnest(u) AS s, generate_subscripts(u, 1) AS pos FROM (
-    SELECT doc_id, 0 AS reading, string_split_regex(coalesce(text, ''), '{ends}') AS u FROM documents
+    SELECT doc_id, 0 AS reading, string_split_regex(t, '{ends}') AS u FROM texts
     UNION ALL
-    SELECT doc_id, 1, string_split_regex(coalesce(text, ''), '{lines}') FROM documents)),
-hits AS (
-  SELECT doc_id, reading, count(*) AS n, ',' || string_agg(id::VARCHAR, ',' ORDER BY pos) || ',' AS ids
+    SELECT doc_id, 1, string_split_regex(t, '{lines}') FROM texts)),
+left0 AS (
+  SELECT doc_id, reading, count(*) AS n, string_agg(',' || id || ',', '' ORDER BY pos) AS ids,
+         CAST([] AS VARCHAR[]) AS names
   FROM (SELECT doc_id, reading, pos, {norm.format('s')} AS s FROM units) u JOIN known k ON u.s = k.s
   GROUP BY doc_id, reading),
+{", ".join(steps)},
 named AS (SELECT doc_id, string_agg(name, ',' ORDER BY name) AS licenses FROM (
-  SELECT DISTINCT doc_id, name FROM hits, rules WHERE contains(hits.ids, rules.ids)) GROUP BY doc_id)
+  SELECT DISTINCT doc_id, unnest(names) AS name FROM {tried}) GROUP BY doc_id)
 SELECT d.doc_id, coalesce(h.n, 0) AS n_sentences, coalesce(n.licenses, '') AS licenses
-FROM documents d LEFT JOIN (SELECT doc_id, max(n) AS n FROM hits GROUP BY doc_id) h ON d.doc_id = h.doc_id
+FROM documents d LEFT JOIN (SELECT doc_id, max(n) AS n FROM left0 GROUP BY doc_id) h ON d.doc_id = h.doc_id
 LEFT JOIN named n ON d.doc_id = n.doc_id
 """
 
