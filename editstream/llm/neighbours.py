@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,12 +17,16 @@ CENTROIDS = 64
 SAMPLE = 10_000
 SHARE = 0.4
 NEAREST = 5
+SCHEMA = "query_id long, rank int, id long, score double"
 BLOCK_ROWS = 2_000
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id, vector, norm`` of the vectors that take part: not null, all components finite, not zero,
-    and of the length that most have (of two equally common, the smaller)."""
+    """``id, vector`` of the vectors that take part: not null, all components finite, not zero.
+
+    Vectors of very large or small components are multiplied by a power of two, which leaves every
+    cosine as it is, so that no square is lost or too large.
+    """
     vector = F.transform(vectors[vector_col], lambda x: x.cast("double"))
     rows = vectors.select(vectors[id_col].alias("id"), vector.alias("vector")).where(
         F.col("id").isNotNull() & F.col("vector").isNotNull()
@@ -29,12 +34,12 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     finite = F.forall(
         "vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     )
-    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    rows = rows.where(finite).withColumn("norm", F.sqrt(squares)).where("norm > 0")
-    sizes = rows.groupBy(F.size("vector").alias("size")).count()
-    common = sizes.orderBy(F.desc("count"), "size").limit(1)
-    return rows.join(
-        F.broadcast(common.select("size")), F.size("vector") == F.col("size"), "left_semi"
+    largest = F.array_max(F.transform("vector", F.abs))
+    power = -F.floor(F.log2(largest))
+    half = F.floor(power / 2)
+    scaled = F.transform("vector", lambda x: x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half))
+    return rows.where(finite).where(largest > 0).select(
+        "id", F.when(largest.between(1e-100, 1e100), F.col("vector")).otherwise(scaled).alias("vector")
     )
 
 
@@ -116,18 +121,36 @@ def nearest(
     are reranked by their exact cosine in double precision; ties go to the smaller id. The rows of a
     centroid of the first half are a list; a list of many rows is dealt into blocks of about 2,000,
     each reranked on its own. On vectors without clusters, the hardest case, 0.4 of the rows give a
-    recall of 0.93 to 0.95; clustered ones can do with less. ``is_query`` is a condition on the column ``id``. Vectors that are null, zero, not finite or
-    of another length than most take no part; rows that repeat an id and vector count once. Returns
-    ``query_id, rank, id, score``.
+    recall of 0.93 to 0.95; clustered ones can do with less. ``is_query`` is a condition on the column
+    ``id``. Vectors that are null, zero or not finite take no part; of the others those of a length are
+    candidates of each other, with an index per length; rows that repeat an id and vector count once.
+    A query finds all candidates if there are no more than ``k``. Returns ``query_id, rank, id, score``.
     """
-    spark = vectors.sparkSession
-    python_path(spark)
-    rows = usable(vectors, id_col, vector_col).select("id", "vector").distinct()
+    python_path(vectors.sparkSession)
+    every = usable(vectors, id_col, vector_col).select("id", "vector", F.size("vector").alias("size")).distinct()
+    lengths = sorted(r["size"] for r in every.select("size").distinct().collect())
+    if not lengths:
+        return vectors.sparkSession.createDataFrame([], SCHEMA)
+    found = [
+        _nearest(every.where(F.col("size") == n).select("id", "vector"), is_query, k, centroids, sample, share)
+        for n in lengths
+    ]
+    # An id may have vectors of several lengths; it has one list of the best.
+    if len(found) == 1:
+        return found[0]
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    best = reduce(DataFrame.union, found).groupBy("query_id", "id").agg(F.max("score").alias("score"))
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "id", "score")
+
+
+def _nearest(
+    rows: DataFrame, is_query: Column, k: int, centroids: int, sample: int, share: float
+) -> DataFrame:
+    """``rows``: distinct ``id, vector`` of one length."""
+    spark = rows.sparkSession
     # In the order of the ids: the same rows give the same codebooks.
     picked = sorted(thinned(rows, sample, "id"), key=lambda r: (r.id, r.vector))
-    schema = "query_id long, rank int, id long, score double"
-    if not picked:
-        return spark.createDataFrame([], schema)
     index = spark.sparkContext.broadcast(
         MultiIndex(np.array([r.vector for r in picked]), centroids)
     )
@@ -146,8 +169,8 @@ def nearest(
     shared = spark.sparkContext.broadcast(counts)
 
     rows_in_all = sum(counts.values())
-    # One more than the share, as the query is among them.
-    enough = int(np.ceil(share * rows_in_all)) + 1
+    # One more than the share, as the query is among them; k others at least.
+    enough = max(int(np.ceil(share * rows_in_all)), k) + 1
     width = len(index.value.right)
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -381,3 +381,33 @@ def test_neighbours_recall_and_order(spark):
         assert best == sorted(best, key=lambda x: (-x[1], x[0])) and q not in {i for i, _ in best}
     assert [i for i, _ in found[700]] == [701, 702, 703, 704, 705]
     assert hits >= 0.9 * 5 * len(found)
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 6, 12])
+def test_few_vectors_find_all_others(spark, size):
+    rows = [(i, [1.0 + i, 2.0, -1.0 * (i % 3)]) for i in range(size)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = collections.Counter(r.query_id for r in neighbours.nearest(table, F.col("id") >= 0).collect())
+    assert found == ({i: min(5, size - 1) for i in range(size)} if size > 1 else {})
+
+
+def test_tiny_and_huge_vectors_and_other_lengths(spark):
+    rng = np.random.default_rng(3)
+    plain = rng.normal(size=(12, 4))
+    scales = [1e-170, 1e-300, 1e160, 1e300, 1.0, 5e-320]
+    rows = [(i, (v * scales[i % 6]).tolist()) for i, v in enumerate(plain)]
+    rows += [(100 + i, [1.0, float(i)]) for i in range(3)] + [(100, [1.0, 2.0, 3.0, 4.0])]
+    names = ["id", "vector", "size", "cell", "list", "block", "seconds", "score", "norm"]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    table = table.withColumns({n: F.lit("x") for n in names})
+    found = collections.defaultdict(list)
+    for r in neighbours.nearest(table, F.col("id") >= 0, k=20).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.id, r.score))
+    units = plain / np.linalg.norm(plain, axis=1, keepdims=True)
+    exact = [i for i in range(12) if i % 6 != 5]  # the others have lost digits before they came here
+    for i in exact:
+        scores = dict(found[i])
+        assert set(scores) == {*range(12), 100} - {i}
+        assert all(abs(scores[j] - units[i] @ units[j]) < 1e-12 for j in exact if j != i)
+    assert {i for i, _ in found[101]} == {100, 102}
+    assert {i for i, _ in found[100]} == {*range(12), 101, 102}
