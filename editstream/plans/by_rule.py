@@ -19,6 +19,7 @@ from editstream.functions import rulebook
 from editstream.functions.columns import compute_once, present_only
 from editstream.functions.rules import condition
 from editstream.operators.detect import flagged_records, full_text, with_flags, with_text
+from editstream.operators.phrases import phrase_hits
 from editstream.plans import finished
 from editstream.plans.rescan import pending_rows
 from editstream.plans.routing import RuleSet, rule_set
@@ -28,6 +29,7 @@ from editstream.sources.tables import SCAN_COLUMNS
 
 HITS, SCREENED = "rule_hits", "rule_hits_screened"
 HIT_SCHEMA = "event_id string, rule string"
+MANY_PHRASES = 200
 
 
 def digest(rule: dict) -> str:
@@ -54,7 +56,24 @@ def missing(spark: SparkSession, root: str, rules: list[dict]) -> dict[tuple[sna
 
 
 def hits_of(edits: DataFrame, rules: list[dict]) -> DataFrame:
-    """``event_id, rule``: which rules, by digest, fire on which edits, from one pass over the texts."""
+    """``event_id, rule``: which rules, by digest, fire on which edits, from one pass over the texts.
+
+    Rules of over ``MANY_PHRASES`` phrases are looked up in an index, in a pass of their own.
+    """
+    large = [r for r in rules if r["kind"] == "phrases" and len(r["patterns"]) > MANY_PHRASES]
+    rules = [r for r in rules if r not in large]
+    found = _hits_of_few(edits, rules)
+    if large:
+        lines = [(digest(r), phrase) for r in large for phrase in r["patterns"]]
+        book = edits.sparkSession.createDataFrame(lines, "category string, phrase string")
+        hits = phrase_hits(with_text(edits), book)
+        found = found.union(hits.select(F.col("evt_id").alias("event_id"), F.col("category").alias("rule")))
+    return found
+
+
+def _hits_of_few(edits: DataFrame, rules: list[dict]) -> DataFrame:
+    if not rules:
+        return edits.sparkSession.createDataFrame([], HIT_SCHEMA)
     text, folded = F.col("full_text"), F.col("folded_text")
     fired = present_only([F.when(condition(r, text, folded), F.lit(digest(r))) for r in rules])
     rows = compute_once(with_text(edits), fired=fired).where(F.size("fired") > 0)

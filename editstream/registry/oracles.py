@@ -290,6 +290,14 @@ _OWN_RULES = {
 ORACLES["custom_rule_flags"] = f"""{edit_scan(_OWN_RULES)}
 SELECT evt_id, flags AS flag_types FROM flagged"""
 
+ORACLES["phrase_book_hits"] = f"""WITH {EDITS},{scanned('edits', EDIT_TEXT)},
+book AS (
+  SELECT 'item ' || item_id AS category, lower(substr(text, 1, 30)) AS phrase FROM benchmark
+  UNION ALL SELECT 'short', unnest(['**', 'ü', 'vital', '☺'])
+)
+SELECT DISTINCT evt_id, category FROM scanned JOIN book ON contains(lt, phrase)
+WHERE phrase <> ''"""
+
 _ALL_FLAGS = sorted({flag for c in CONDITIONS.values() for flag in c})
 _BY_VERSION = " UNION ALL ".join(
     f"SELECT i, '{v}' AS version, '{flag}' AS flag, {CONDITIONS[v].get(flag, 'false')} AS hit"

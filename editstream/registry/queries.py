@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from editstream.functions import rulebook
 from editstream.functions import variants as V
 from editstream.functions.columns import sanitize_text
-from editstream.operators import audit, detect, evolution, flatten, ingest, quality, validate
+from editstream.operators import audit, detect, evolution, flatten, ingest, phrases, quality, validate
 from editstream.plans import analytics, by_rule, finished, rescan, routing, sketches
 from editstream.registry.plain import plain
 from editstream.schemas import EDIT_FIELDS, EDIT_SCHEMA, ERROR_TYPE
@@ -230,6 +230,17 @@ def custom_rule_flags(spark, sf_dir):
     return detect.flagged_only(views.edits(spark, sf_dir), rules).select("evt_id", "flag_types")
 
 
+@query
+def phrase_book_hits(spark, sf_dir):
+    """A book of a phrase per benchmark item, its first thirty characters, and some short ones."""
+    items = views.table(spark, sf_dir, "benchmark")
+    start = F.lower(F.substring("text", 1, 30))
+    book = items.select(F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("category"), start.alias("phrase"))
+    short = spark.createDataFrame([("short", p) for p in ("**", "ü", "vital", "☺")], "category string, phrase string")
+    rows = detect.with_text(views.edits(spark, sf_dir))
+    return phrases.phrase_hits(rows, book.union(short))
+
+
 @query
 def rule_version_changes(spark, sf_dir):
     return detect.version_changes(views.edits(spark, sf_dir), rulebook.RULE_SETS)

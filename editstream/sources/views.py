@@ -202,21 +202,6 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered_raw_lines(spark, sf_dir).select("value")
 
 
-def _stream_numbered(spark: SparkSession, sf_dir: str, files_per_trigger: int) -> DataFrame:
-    events, documents = events_and_documents(spark, sf_dir)
-    stream = (
-        spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
-    return shape_edits(join_documents(stream, documents, F.lit(documents.count())))
-
-
-def stream_edits(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    return _stream_numbered(spark, sf_dir, files_per_trigger).select(EDIT_FIELDS)
-
-
 def shape_flat_lines(rows: DataFrame) -> DataFrame:
     """``value``: flat record JSON with a fault chosen by ``i % 20``; ``i`` is kept."""
     fault = F.col("i") % 20
