@@ -729,11 +729,14 @@ FROM raw"""
 ORACLES["streamed_first_events"] = f"""WITH {RAW}
 SELECT DISTINCT evt_id FROM raw WHERE fate = 'valid'"""
 ORACLES["streamed_unique_events"] = ORACLES["streamed_first_events"]
-ORACLES["backlog_severity"] = f"""
+
+
+def _backlog(messages: int, high: int, medium: int, low: int) -> str:
+    return f"""
 WITH moves AS (
-  SELECT event_type AS source, ts AS moved_at, 1 AS arrived, 0 AS processed FROM events
+  SELECT event_type AS source, ts AS moved_at, {messages} AS arrived, 0 AS processed FROM events
   UNION ALL
-  SELECT event_type, ts + to_minutes(CAST(floor(value) AS BIGINT)), 0, 1 FROM events
+  SELECT event_type, ts + to_minutes(CAST(floor(value) AS BIGINT)), 0, {messages} FROM events
 ),
 minutes AS (
   SELECT source, date_trunc('minute', moved_at) AS minute, CAST(sum(arrived) AS BIGINT) AS arrived,
@@ -745,10 +748,14 @@ running AS (
     AS waiting FROM minutes
 )
 SELECT source, {ts_text('minute')} AS minute, arrived, processed, waiting,
-       CASE WHEN waiting > 5 THEN 'HIGH' WHEN waiting > 3 THEN 'MEDIUM' WHEN waiting < 1 THEN 'LOW'
-            ELSE 'NONE' END AS severity
+       CASE WHEN waiting > {high} THEN 'HIGH' WHEN waiting > {medium} THEN 'MEDIUM'
+            WHEN waiting < {low} THEN 'LOW' ELSE 'NONE' END AS severity
 FROM running"""
 
+
+ORACLES["backlog_severity"] = _backlog(1, 5, 3, 1)
+ORACLES["backlog_severity_published"] = _backlog(2_000, 10_000, 5_000, 100)
+
 # --- Audits ------------------------------------------------------------------------------------------
 
 ORACLES["first_events"] = f"""WITH {RAW},

@@ -865,18 +865,32 @@ def streamed_unique_events(spark, sf_dir):
     return tables.read_table(spark, root, "edits").select("evt_id")
 
 
-@query
-def backlog_severity(spark, sf_dir):
-    """Events wait as many minutes as their value says; the thresholds suit the test data."""
+def _waiting(spark: SparkSession, sf_dir: str, messages: int = 1) -> DataFrame:
+    """Events that stand for so many messages wait as many minutes as their value says."""
     events = views.events_and_documents(spark, sf_dir)[0]
     arrivals = events.select(
-        F.col("event_type").alias("source"), F.col("ts").cast("timestamp").alias("at"), "value"
+        F.col("event_type").alias("source"),
+        F.col("ts").cast("timestamp").alias("at"),
+        "value",
+        F.lit(messages).alias("messages"),
     )
     minutes = F.make_dt_interval(mins=F.floor("value").cast("int"))
-    departures = arrivals.select("source", (F.col("at") + minutes).alias("at"))
-    waiting = rates.backlog(arrivals, departures)
+    departures = arrivals.select("source", (F.col("at") + minutes).alias("at"), "messages")
+    return rates.backlog(arrivals, departures)
+
+
+@query
+def backlog_severity(spark, sf_dir):
+    """Thresholds that suit the test data."""
     severity = rates.severity(F.col("waiting"), F.lit(1), high=5, medium=3, low=1)
-    return waiting.withColumn("severity", severity)
+    return _waiting(spark, sf_dir).withColumn("severity", severity)
+
+
+@query
+def backlog_severity_published(spark, sf_dir):
+    """The published thresholds, with events of two thousand messages."""
+    severity = rates.severity(F.col("waiting"), F.lit(1))
+    return _waiting(spark, sf_dir, 2_000).withColumn("severity", severity)
 
 
 # --- Audits and evolution --------------------------------------------------------------------------

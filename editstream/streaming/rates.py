@@ -82,12 +82,17 @@ def first_in_stream(edits: DataFrame, key: str = "evt_id", late: str = "10 minut
 def backlog(arrivals: DataFrame, departures: DataFrame) -> DataFrame:
     """Messages waiting per source at the end of every minute.
 
-    Both inputs hold ``source`` and ``at``. They are counted per minute before the running sum,
-    so the window sorts minutes, not messages.
+    Both inputs hold ``source`` and ``at``; a row is one message, or as many as its column ``messages``
+    says. They are counted per minute before the running sum, so the window sorts minutes, not messages.
     """
-    moves = arrivals.select("source", "at", F.lit(1).alias("arrived"), F.lit(0).alias("processed"))
+
+    def number(rows: DataFrame) -> Column:
+        return F.col("messages").cast("long") if "messages" in rows.columns else F.lit(1)
+
+    came, went, none = number(arrivals), number(departures), F.lit(0)
+    moves = arrivals.select("source", "at", came.alias("arrived"), none.alias("processed"))
     moves = moves.unionByName(
-        departures.select("source", "at", F.lit(0).alias("arrived"), F.lit(1).alias("processed"))
+        departures.select("source", "at", none.alias("arrived"), went.alias("processed"))
     )
     minutes = moves.groupBy("source", F.date_trunc("MINUTE", "at").alias("minute")).agg(
         F.sum("arrived").alias("arrived"), F.sum("processed").alias("processed")
