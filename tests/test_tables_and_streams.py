@@ -287,7 +287,7 @@ def test_tables_in_sql(spark, lines, event, tmp_path):
     tables.ensure_tables(spark, root)
     routing.route_batch(lines(*sample_events(event)), root, "load")
     views = tables.register_views(spark, root, "wiki")
-    assert views == ["wiki", "wiki_dead_letter", "wiki_flagged", "wiki_clean"]
+    assert views == ["wiki", "wiki_dead_letter", "wiki_flagged", "wiki_clean", "wiki_progress"]
     by_type = spark.sql("SELECT type, COUNT(*) AS count FROM wiki GROUP BY type ORDER BY count DESC")
     assert [tuple(r) for r in by_type.collect()] == [("edit", 4), ("log", 1)]
     rate = spark.sql(
