@@ -732,11 +732,11 @@ def migrated_table(spark, sf_dir):
 # --- Streams -------------------------------------------------------------------------------------
 
 
-def _stream_of_files(spark: SparkSession, sf_dir: str, files: int = 3) -> DataFrame:
-    """The raw lines as a stream of several files, one per micro-batch."""
+def _stream_of_files(spark: SparkSession, sf_dir: str, batches: int = 3, files: int = 8) -> DataFrame:
+    """The raw lines as a stream of several micro-batches of several files each."""
     landed = scratch_dir(spark, "landed")
-    views.raw_lines(spark, sf_dir).repartition(files).write.text(landed)
-    return event_lines.stream_lines(spark, landed, max_files_per_trigger=1)
+    views.raw_lines(spark, sf_dir).repartition(batches * files).write.text(landed)
+    return event_lines.stream_lines(spark, landed, max_files_per_trigger=files)
 
 
 def _routed_stream(spark: SparkSession, sf_dir: str) -> str:
