@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from editstream.functions import rulebook
 from editstream.functions.columns import compute_once, present_only
 from editstream.functions.rules import condition
-from editstream.operators.detect import flagged_records, full_text, with_flags, with_text
+from editstream.operators.detect import SAMPLE_LENGTH, flagged_records, full_text, with_flags, with_text
 from editstream.operators.phrases import phrase_hits
 from editstream.plans import finished
 from editstream.plans.rescan import pending_rows
@@ -138,9 +138,11 @@ def rescan_changed(
         ran = screen_missing(spark, root, chosen)
         flags = kept(known_hits(spark, root, chosen), "known-hits")
         with pending_rows(edits, done) as todo:
-            hit = todo.join(flags, todo["evt_id"] == flags["event_id"]).drop("event_id")
-            hit = hit.withColumn("text_length", F.char_length(full_text()).cast("long"))
-            nameless = with_flags(todo.where("evt_id is null"), chosen)
+            # Only what the flagged table keeps of a text goes into the join.
+            cut = todo.withColumn("text_length", F.char_length(full_text()).cast("long"))
+            cut = cut.withColumn("comment", F.substring("comment", 1, SAMPLE_LENGTH)).drop("parsed_comment")
+            hit = cut.join(flags, cut["evt_id"] == flags["event_id"]).drop("event_id")
+            nameless = with_flags(todo.where("evt_id is null"), chosen).drop("parsed_comment")
             tables.write_table(flagged_records(hit.unionByName(nameless), version, as_of), root, "flagged", run)
             ids = todo.select("evt_id").where("evt_id is not null")
             clean = ids.join(flags, ids["evt_id"] == flags["event_id"], "left_anti")
