@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from editstream.functions.columns import parse_time
 
@@ -69,6 +70,33 @@ def chained_rates(
     )
 
 
+def start_latest(windows: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Store every state of every window, also while it is open: a micro-batch writes the windows it has
+    changed. Only windows of one width can be followed like this; those the watermark has passed leave
+    the state as in append mode. A batch that is repeated replaces what it wrote.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return (
+        windows.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "30 seconds"}))
+        .start()
+    )
+
+
+def latest_windows(spark: SparkSession, out: str) -> DataFrame:
+    """The last state of every window that :func:`start_latest` has stored."""
+    states = spark.read.schema(
+        "window_start timestamp, event_count long, about_unique_users long, batch long"
+    ).parquet(out)
+    last = F.max_by(F.struct("event_count", "about_unique_users"), "batch").alias("last")
+    return states.groupBy("window_start").agg(last).select("window_start", "last.*")
+
+
 def unreadable_times(edits: DataFrame) -> DataFrame:
     """The events that no window of :func:`event_rates` counts."""
     return edits.where(parse_time(F.col("dt_user")).isNull())
