@@ -9,10 +9,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# --- Fixed value: characters of prose from the most to the least frequent; all others are rarer ---
+FREQUENT = " etaoinshrdlcumwfgypbvkjxqz"
+LEAST_TAIL = 4
+
+
+def rare_tail(phrase: str) -> str:
+    """The end of the phrase that starts with its least frequent character.
+
+    ``contains`` compares wherever the first byte agrees, which a frequent letter does in every word.
+    """
+    starts = range(max(len(phrase) - LEAST_TAIL, 0) + 1)
+    ranks = [FREQUENT.index(c) if c in FREQUENT else len(FREQUENT) for c in phrase]
+    return phrase[max(starts, key=lambda i: ranks[i]) :] if phrase else phrase
+
+
+def holds_phrase(text: Column, phrase: str) -> Column:
+    """Whether the text contains the phrase, looked for only in texts that contain its rare tail.
+
+    Both are searched as bytes, which Spark does in about half the time of a search in text.
+    """
+    octets, tail = text.cast("binary"), rare_tail(phrase)
+    found = F.contains(octets, F.lit(phrase.encode("utf-8")))
+    return found if tail == phrase else F.contains(octets, F.lit(tail.encode("utf-8"))) & found
+
+
 def any_phrase(text: Column, phrases: list[str]) -> Column:
     if not phrases:
         return F.lit(False)
-    return reduce(or_, [F.contains(text, F.lit(phrase)) for phrase in phrases])
+    return reduce(or_, [holds_phrase(text, phrase) for phrase in phrases])
 
 
 def _java_flags(rule: dict) -> str:

@@ -34,6 +34,26 @@ def test_hits_equal_a_search_for_each_phrase(spark, monkeypatch):
     assert phrases.phrase_hits(df.where("false"), lines).count() == 0
 
 
+def test_a_phrase_is_found_at_every_place_without_a_lambda_per_byte(spark):
+    phrase = "some long phrase é"
+    rows = [(str(i), "x" * i + phrase + "y" * (i % 3)) for i in range(300)] + [("no", "x" * 200 + phrase[1:])]
+    df = spark.createDataFrame(rows, "evt_id string, folded_text string")
+    book = spark.createDataFrame([("c", phrase), ("d", "ong ph"), ("e", "x" * 13)], "category string, phrase string")
+    found = phrases.phrase_hits(df, book)
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = {(k, c) for k, t in rows for c, p in (("c", phrase), ("d", "ong ph"), ("e", "x" * 13)) if p in t}
+    assert sorted(map(tuple, found.collect())) == sorted(want) and len(want) > 800
+
+
+def test_books_between_the_two_sizes_of_an_index(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "MOST_BROADCAST", 9)
+    df = spark.createDataFrame([("1", "phrase number 3 and so on")], "evt_id string, folded_text string")
+    for count in (1, 5, 20):
+        lines = [("c%d" % i, f"phrase number {i % 10}") for i in range(count)]
+        book = spark.createDataFrame(lines, "category string, phrase string")
+        assert phrases.phrase_hits(df, book).count() == sum(i % 10 == 3 for i in range(count))
+
+
 def test_the_plan_does_not_grow_with_the_book(spark):
     df = spark.createDataFrame([("1", "some text of no great length")], "evt_id string, folded_text string")
     sizes = []
