@@ -44,6 +44,9 @@ def flag_map(names: Column) -> Column:
 
 def with_flags(edits: DataFrame, rules: Rules, columns: list[str] = TEXT_COLUMNS) -> DataFrame:
     """Add ``flag_types`` and ``text_length`` to every row; a filter on them is not repeated."""
+    if not rules:  # no text to fold for anyone
+        length = F.char_length(full_text(columns)).cast("long")
+        return edits.withColumns({"flag_types": flag_names(rules), "text_length": length})
     return (
         compute_once(with_text(edits, columns), flag_types=flag_names(rules))
         .withColumn("text_length", F.char_length("full_text").cast("long"))

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from editstream.functions import rulebook
-from editstream.functions.rules import condition
+from editstream.functions.rules import any_phrase, condition, rare_tail
 from editstream.operators import detect
 from editstream.sources import rule_files
 
@@ -264,3 +264,23 @@ def test_version_changes(edit_rows):
         ("1.0.0", "1.0.1", "importance_emphasis", "lost"): 1,
         ("1.0.2", "1.0.3", "emoji_in_headings", "gained"): 2,
     }
+
+
+def test_phrases_are_searched_by_the_rare_end_of_their_bytes(spark):
+    phrases = ["testament to", "a", "ütt", "watershed moment", "zz top", "ends in k", "— dash"]
+    texts = ["a testament to", "testament t", "watershed momen", "the watershed moment", "zütt", "zz to", "zz top",
+             "k", "ends in k", "— dash", "— das", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for phrase in phrases:
+        assert phrase.endswith(rare_tail(phrase))
+        found = rows.select(any_phrase(F.col("t"), [phrase])).collect()
+        assert [r[0] for r in found] == [None if t is None else phrase in t for t in texts]
+    assert rare_tail("breathtaking") == "king" and rare_tail("a") == "a" and rare_tail("") == ""
+    assert rows.where(any_phrase(F.col("t"), [""])).count() == len(texts) - 1
+
+
+def test_without_rules_no_text_is_folded(spark, edit_rows):
+    rows = detect.with_flags(edit_rows({"evt_id": "1", "comment": "Some", "title": "Text"}), [])
+    assert "lower(" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.columns[-2:] == ["flag_types", "text_length"]
+    assert [(r["flag_types"], r["text_length"]) for r in rows.collect()] == [([], 9)]
