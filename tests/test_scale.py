@@ -83,3 +83,20 @@ def test_texts_are_cut_before_they_meet_their_hits(spark, edit_rows, tmp_path, m
     row = tables.read_table(spark, root, "flagged").first()
     assert (row["event_id"], row["content_sample"]["text_length"]) == ("a", 802)
     assert len(row["content_sample"]["comment"]) == 500
+
+
+def test_the_tasks_of_a_join_fill_all_cores(spark, small_tables, monkeypatch):
+    monkeypatch.setattr(views, "TASK_CHARS", 40)
+    cores = spark.sparkContext.defaultParallelism
+    parts = views.join_tasks(*views.events_and_documents(spark, small_tables))
+    assert parts >= 6 and parts % cores == 0  # 240 characters
+    monkeypatch.setattr(views, "TASK_CHARS", 240)
+    assert views.join_tasks(*views.events_and_documents(spark, small_tables)) is None
+
+
+def test_json_members_are_cut_without_counting_characters(spark):
+    rows = spark.createDataFrame([('é"\\\n☺🎉',), ("",), (None,)], "c string")
+    cut = rows.select(views._json(rows["c"]).alias("json"))
+    assert [r["json"] for r in cut.collect()] == ['"é\\"\\\\\\n☺🎉"', '""', None]
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert " length(" not in plan
