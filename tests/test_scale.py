@@ -1,5 +1,6 @@
 """What keeps the stored and streamed queries small on large tables: no wide shuffle, no single task."""
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -100,3 +101,52 @@ def test_json_members_are_cut_without_counting_characters(spark):
     assert [r["json"] for r in cut.collect()] == ['"é\\"\\\\\\n☺🎉"', '""', None]
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert " length(" not in plan
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+
+def test_the_shuffle_files_of_a_write_go_with_it(spark, edit_rows, tmp_path):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows = edit_rows(*[{"evt_id": str(i), "dt_server": START} for i in range(40)]).repartition(4, "evt_id")
+    before, setting = shuffle_files(spark), spark.conf.get(key)
+    tables.write_table(rows, str(tmp_path), "edits", "load")
+    until = time.time() + 10
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(key) == setting
+    assert tables.read_table(spark, str(tmp_path), "edits").count() == 40
+
+
+def typed_tables(spark, folder):
+    """Events of all types, of no type and without a document's language."""
+    types = ["click", "view", "signup", "purchase", "error", None]
+    events = [(i, START, i % 3, types[i % 6]) for i in range(60)]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string").write.parquet(
+        f"{folder}/events.parquet"
+    )
+    documents = [(i, f"text {i}", "en" if i else None, 6) for i in range(5)]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, n_chars long").write.parquet(
+        f"{folder}/documents.parquet"
+    )
+    return str(folder)
+
+
+def test_rows_without_text_do_not_meet_the_texts(spark, tmp_path, monkeypatch):
+    folder, plans, write = typed_tables(configure(spark), tmp_path), {}, tables.write_table
+    others = views.edits_without_text(spark, folder)
+    want = views.edits(spark, folder).where("type not in ('edit', 'new')")
+    assert sorted(map(str, others.collect())) == sorted(map(str, want.collect())) and want.count() == 30
+
+    def spy(df, root, table, batch_id):
+        plans[batch_id] = df._jdf.queryExecution().optimizedPlan().toString()
+        write(df, root, table, batch_id)
+
+    monkeypatch.setattr(tables, "write_table", spy)
+    assert queries.QUERIES["migrated_table"](spark, folder).count() == 60
+    assert "prose" in plans["older"]
+    assert "prose" not in plans["newer"]
