@@ -177,7 +177,7 @@ def route_counts(spark, sf_dir):
 def json_lines_round_trip(spark, sf_dir):
     """The plain job of flattening: JSON lines written, and every value's text read back."""
     path = scratch_dir(spark, "flat-json")
-    tables.write_json_lines(routing.flat_lines(views.raw_lines(spark, sf_dir)), path)
+    tables.write_json_lines(routing.flat_lines(views.raw_lines(spark, sf_dir)), path, compressed=True)
     record = F.try_parse_json("value")
     return spark.read.text(path).select(
         [V.as_text(V.child(record, f"$.{name}")).alias(name) for name in EDIT_FIELDS]

@@ -2,10 +2,11 @@
 
 import time
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 
-from editstream.plans import by_rule
+from editstream.plans import by_rule, routing
 from editstream.registry import queries
 from editstream.session import configure
 from editstream.sources import tables, views
@@ -150,3 +151,17 @@ def test_rows_without_text_do_not_meet_the_texts(spark, tmp_path, monkeypatch):
     assert queries.QUERIES["migrated_table"](spark, folder).count() == 60
     assert "prose" in plans["older"]
     assert "prose" not in plans["newer"]
+
+
+def test_json_lines_of_the_round_trip_are_compressed(spark, tmp_path, monkeypatch):
+    folder = typed_tables(configure(spark), tmp_path)
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, name: f"file://{tmp_path}/{name}")
+    rows = queries.QUERIES["json_lines_round_trip"](spark, folder)
+    files = [p.name for p in Path(f"{tmp_path}/flat-json").glob("part-*")]
+    assert files and all(name.endswith(".gz") for name in files)
+    lines = routing.flat_lines(views.raw_lines(spark, folder))
+    assert rows.count() == lines.count() > 30
+    tables.write_json_lines(lines, str(tmp_path / "plain"))
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "plain")).collect()) == sorted(
+        r[0] for r in spark.read.text(f"{tmp_path}/flat-json").collect()
+    )
