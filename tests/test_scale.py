@@ -104,6 +104,37 @@ def test_json_members_are_cut_without_counting_characters(spark):
     assert " length(" not in plan
 
 
+def kept_in_memory(spark):
+    return spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+
+def test_a_micro_batch_is_not_kept_in_memory(spark, lines, event, tmp_path, monkeypatch):
+    root, found, write = str(tmp_path), [], routing.write_routes
+    tables.ensure_tables(spark, root)
+
+    def spy(rows, *rest):
+        found.append((kept_in_memory(spark), len(rows.inputFiles())))
+        write(rows, *rest)
+
+    monkeypatch.setattr(routing, "write_routes", spy)
+    before = kept_in_memory(spark)
+    routing.route_micro_batch(lines(event(), event(type=5), event(title=1)), root, "m-0")
+    assert found[0][0] == before and found[0][1] > 0
+    counts = {t: tables.read_table(spark, root, t).count() for t in ("edits", "dead_letter", "progress")}
+    assert counts == {"edits": 1, "dead_letter": 1, "progress": 1}
+    progress = tables.read_table(spark, root, "progress").first()
+    assert (progress["lines"], progress["bad_type"], progress["valid"]) == (3, 1, 1)
+
+
+def test_the_size_of_staged_rows_is_that_of_compressed_files(spark, edit_rows, tmp_path, monkeypatch):
+    rows = edit_rows(*[{"evt_id": str(i), "dt_server": START} for i in range(40)])
+    rows.repartition(4).write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    monkeypatch.setattr(tables, "GATHER_BYTES", 2 * tables.estimated_bytes(stored))
+    tables.write_table(stored.repartition(4), str(tmp_path), "edits", "a")
+    assert len(tables.read_table(spark, str(tmp_path), "edits").inputFiles()) > 1
+
+
 def shuffle_files(spark):
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     files = disk.getAllFiles()
