@@ -10,6 +10,7 @@ from editstream.functions.slices import in_slices
 from editstream.session import kept
 
 CONTENT_KEY = ["title", "user", "comment"]
+FIRST_ORDER = ["dt_server", "dt_user", "title"]
 
 
 def first_per_id(edits: DataFrame, key: str = "evt_id", order: list[str] | None = None) -> DataFrame:
@@ -18,7 +19,7 @@ def first_per_id(edits: DataFrame, key: str = "evt_id", order: list[str] | None
     Rows that agree in ``order`` follow a digest of all their columns. The filter on the row number becomes a limit before the shuffle, so a task sends at most
     one row per id it holds, however often that id is repeated.
     """
-    order = order or ["dt_server", "dt_user", "title"]
+    order = order or FIRST_ORDER
     own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     rows = edits.withColumns({"_own": own, "_digest": F.xxhash64(*edits.columns)})
     place = F.row_number().over(Window.partitionBy(key, "_own").orderBy(*order, "_digest"))

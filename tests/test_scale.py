@@ -10,7 +10,8 @@ from editstream.plans import by_rule, routing
 from editstream.registry import queries
 from editstream.session import configure
 from editstream.sources import tables, views
-from editstream.streaming import rates
+from editstream.sources.id_index import IdIndex
+from editstream.streaming import dedup, rates
 
 START = datetime(2024, 1, 1)
 
@@ -135,6 +136,30 @@ def test_the_size_of_staged_rows_is_that_of_compressed_files(spark, edit_rows, t
     assert len(tables.read_table(spark, str(tmp_path), "edits").inputFiles()) > 1
 
 
+@pytest.mark.parametrize("most", [1_000_000, 2, 0])
+def test_unseen_rows_are_found_without_their_texts(spark, edit_rows, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(dedup, "MOST_BROADCAST", most)
+    index, found, plans = IdIndex(spark, str(tmp_path / "seen"), 4), {}, {}
+    before = kept_in_memory(spark)
+
+    def write(rows, run):
+        assert kept_in_memory(spark) == before
+        plans[run] = rows._jdf.queryExecution().executedPlan().toString()
+        found[run] = sorted((r["evt_id"] or "", r["comment"]) for r in rows.collect())
+
+    def batch(*rows):
+        return edit_rows(*[{"evt_id": i, "comment": c, "dt_user": t} for i, c, t in rows])
+
+    first = batch(("a", "late", "2"), ("a", "early", "1"), ("b", "x", "1"), (None, "n", "1"), (None, "n", "1"))
+    dedup.keep_first(first, index, "r-0", write)
+    second = batch(("a", "y", "0"), ("b", "y", "0"), ("b", "z", "0"), ("c", "y", "0"), ("c", "y", "0"))
+    dedup.keep_first(second, index, "r-1", write)
+    dedup.keep_first(first, index, "r-0", write)  # repeated
+    assert found == {"r-0": [("", "n"), ("", "n"), ("a", "early"), ("b", "x")], "r-1": [("c", "y")]}
+    if most:
+        assert all("hashpartitioning" not in plan for plan in plans.values())
+
+
 def shuffle_files(spark):
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     files = disk.getAllFiles()
